@@ -1,0 +1,17 @@
+"""Result tables, partitioned by valuation date."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+PARTITION = "fecha_valoracion"
+
+
+def write_close(result: DataFrame, path: str) -> None:
+    """Replace the partition of this close and leave other closes as they are."""
+    (
+        result.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(PARTITION)
+        .parquet(path)
+    )
