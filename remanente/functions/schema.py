@@ -67,7 +67,7 @@ def union_by_position(frames: Sequence[DataFrame]) -> DataFrame:
 
 def ensure_columns(df: DataFrame, fields: dict[str, str]) -> DataFrame:
     """Add the typed null columns of ``fields`` that ``df`` does not have yet."""
-    missing = {n: F.lit(None).cast(t) for n, t in fields.items() if n not in df.columns}
+    missing = {n: F.expr(f"CAST(NULL AS {t})") for n, t in fields.items() if n not in df.columns}
     return df.withColumns(missing) if missing else df
 
 

@@ -125,6 +125,16 @@ FINANCING_TRACE = dict.fromkeys(
     ],
     "double",
 )
+# Result columns of financed rows that every result carries.
+FINANCING_COLUMNS = {
+    "pais_curva": "string",
+    "moneda_curva": "string",
+    "factor_ajuste_ipc": "double",
+    "factor_cap_real": "double",
+    "suma_factores_remanente": "double",
+    "suma_factores_total": "double",
+    "tasa_acreditacion": "double",
+}
 FINANCING_RESULT = {
     "estado_devengo": "string",
     "valor_constitucion": "double",
@@ -155,7 +165,7 @@ def with_period(df: DataFrame, cfg: RunConfig) -> DataFrame:
 
 
 def with_rule_and_routes(df: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Rule label and the list of routes of each row.
+    """Rule label and the route, or both routes, of each row.
 
     A financed row that is also an investment or limit row takes both routes. As coded, a short
     row whose half/half flag is null takes none.
@@ -180,19 +190,27 @@ def with_rule_and_routes(df: DataFrame, cfg: RunConfig) -> DataFrame:
     general = F.when(halves, HALVES)
     general = general.when(~halves, DAILY) if cfg.as_coded else general.otherwise(DAILY)
     own = F.when(investment | limited, special).otherwise(general)
-    routes = (
-        F.when(financed & (investment | limited), F.array(F.lit(FINANCED), own))
-        .when(financed, F.array(F.lit(FINANCED)))
-        .otherwise(F.array(own))
+    both = financed & (investment | limited)
+    return df.withColumns(
+        {
+            "regla_devengo": label,
+            "_ruta": F.when(financed, FINANCED).otherwise(own),
+            "_segunda_ruta": F.when(both, own),
+        }
     )
-    return df.withColumns({"regla_devengo": label, "_rutas": routes})
 
 
-def route_rows(df: DataFrame) -> DataFrame:
-    """One row per route; rows without a route are dropped."""
-    return df.withColumn("_ruta", F.explode("_rutas")).drop("_rutas").filter(
-        C("_ruta").isNotNull()
-    )
+def route_rows(df: DataFrame, financed: bool = True) -> DataFrame:
+    """One row per route; rows without a route are dropped.
+
+    Only financed rows can have a second route, so inputs without financing are not exploded.
+    """
+    if financed:
+        routes = F.expr(
+            "CASE WHEN _segunda_ruta IS NULL THEN array(_ruta) ELSE array(_ruta, _segunda_ruta) END"
+        )
+        df = df.withColumn("_rutas", routes).withColumn("_ruta", F.explode("_rutas")).drop("_rutas")
+    return df.filter(C("_ruta").isNotNull()).drop("_segunda_ruta")
 
 
 # --- daily rule --------------------------------------------------------------------------
@@ -484,33 +502,27 @@ def financing_rule(df: DataFrame, into: str = "") -> DataFrame:
 
 def apply_signs(df: DataFrame) -> DataFrame:
     """Sign of the reserve on every movement; a negative amount is a liability."""
-    sign = C("signo_constitucion")
     same = ["valor_constitucion", "saldo", "acreditacion_intereses"]
     opposite = ["valor_liberacion", "valor_liberacion_acum"]
     return df.withColumns(
-        {**{c: C(c) * sign for c in same}, **{c: C(c) * -1 * sign for c in opposite}}
+        {
+            **{c: F.expr(f"{c} * signo_constitucion") for c in same},
+            **{c: F.expr(f"{c} * -1 * signo_constitucion") for c in opposite},
+        }
     )
 
 
 def with_previous_balance(df: DataFrame) -> DataFrame:
     """Balance before the month's movements, whatever the rule."""
-
-    def known(c: str) -> Column:
-        return F.coalesce(F.nanvl(C(c), F.lit(0.0)), F.lit(0.0))
-
-    previous = known("saldo")
-    for movement in ("valor_constitucion", "valor_liberacion", "acreditacion_intereses"):
-        previous = previous - known(movement)
-    return df.withColumn("saldo_anterior", previous)
+    movements = ["saldo", "valor_constitucion", "valor_liberacion", "acreditacion_intereses"]
+    known = [f"coalesce(nanvl({c}, 0D), 0D)" for c in movements]
+    return df.withColumn("saldo_anterior", F.expr(" - ".join(known)))
 
 
-def by_route(choices: dict[str, Column | str]) -> Column:
-    """Value of the row's route; null for routes without one."""
-    out = None
-    for route, value in choices.items():
-        here = C("_ruta") == route
-        out = F.when(here, as_col(value)) if out is None else out.when(here, as_col(value))
-    return out
+def by_route(choices: dict[str, str]) -> Column:
+    """Column of the row's route; null for routes without one."""
+    cases = " ".join(f"WHEN '{route}' THEN {name}" for route, name in choices.items())
+    return F.expr(f"CASE _ruta {cases} END")
 
 
 def accrue(prepared: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -518,59 +530,55 @@ def accrue(prepared: DataFrame, cfg: RunConfig) -> DataFrame:
 
     The result always carries the same columns, whichever rules the input uses.
     """
-    financed = "fact_acum_val" in prepared.columns
+    financed = "aplica_comp_financ" in prepared.columns
     carried = carried_balance(prepared.columns, cfg)
-    ready = ensure_columns(prepared, {**OPTIONAL_INPUT, **FINANCING_INPUT})
-    routed = route_rows(with_rule_and_routes(with_period(ready, cfg), cfg))
+    optional = {**OPTIONAL_INPUT, **(FINANCING_INPUT if financed else {})}
+    ready = ensure_columns(prepared, optional)
+    routed = route_rows(with_rule_and_routes(with_period(ready, cfg), cfg), financed)
     ruled = limit_rule(daily_rule(routed, cfg, "_d_"), carried, "_d_", "_l_")
     if financed:
         ruled = financing_rule(ruled, "_f_")
     else:
-        none = {f"_f_{c}": F.lit(None).cast(t) for c, t in FINANCING_RESULT.items()}
-        ruled = ensure_columns(ruled, FINANCING_TRACE).withColumns(none)
-
-    halves, invested = halves_amounts(), investment_amounts()
-    amounts = {
-        c: by_route(
-            {
-                DAILY: f"_d_{c}",
-                HALVES: halves[c],
-                LIMIT: f"_d_{c}" if c == "valor_constitucion" else f"_l_{c}",
-                INVESTMENT: invested[c],
-                FINANCED: f"_f_{c}",
-            }
-        )
-        for c in ("valor_constitucion", "valor_liberacion", "valor_liberacion_acum", "saldo")
-    }
-    traces = {c: by_route({DAILY: f"_d_{c}", LIMIT: f"_d_{c}"}) for c in DAILY_TRACE}
+        absent = {f"_f_{c}": t for c, t in FINANCING_RESULT.items()}
+        ruled = ensure_columns(ruled, absent)
+
+    ruled = ruled.withColumns(
+        {
+            **{f"_h_{c}": v for c, v in halves_amounts().items()},
+            **{f"_i_{c}": v for c, v in investment_amounts().items()},
+        }
+    )
+    prefixes = {DAILY: "_d_", HALVES: "_h_", LIMIT: "_l_", INVESTMENT: "_i_", FINANCED: "_f_"}
+
+    def amount(c: str, routes: dict[str, str]) -> Column:
+        return by_route({route: f"{prefix}{c}" for route, prefix in routes.items()})
+
+    by_day = {DAILY: "_d_", LIMIT: "_d_"}
     picked = ruled.withColumns(
         {
-            **amounts,
-            **traces,
-            "estado_devengo": by_route(
-                {
-                    DAILY: "_d_estado_devengo",
-                    LIMIT: "_d_estado_devengo",
-                    HALVES: "_d_estado_devengo",
-                    FINANCED: "_f_estado_devengo",
-                }
+            "valor_constitucion": amount("valor_constitucion", {**prefixes, LIMIT: "_d_"}),
+            "valor_liberacion": amount("valor_liberacion", prefixes),
+            "valor_liberacion_acum": amount("valor_liberacion_acum", prefixes),
+            "saldo": amount("saldo", prefixes),
+            "estado_devengo": amount(
+                "estado_devengo", {**by_day, HALVES: "_d_", FINANCED: "_f_"}
             ),
-            "regla_devengo": F.when(C("_ruta") == LIMIT, C("_l_regla_devengo")).otherwise(
-                C("regla_devengo")
+            **{c: amount(c, by_day) for c in DAILY_TRACE},
+            "regla_devengo": F.expr(
+                f"CASE _ruta WHEN '{LIMIT}' THEN _l_regla_devengo ELSE regla_devengo END"
             ),
-            "acreditacion_intereses": by_route({FINANCED: "_f_acreditacion_intereses"}),
+            "acreditacion_intereses": amount("acreditacion_intereses", {FINANCED: "_f_"}),
             "porc_consumo_limite": by_route({LIMIT: "porc_consumo_limite"}),
             "valor_liberacion_limite": by_route({LIMIT: "valor_liberacion_limite"}),
-            "mes_constitucion": by_route(
-                {HALVES: halves["mes_constitucion"], INVESTMENT: invested["mes_constitucion"]}
-            ),
-            "mes_ini_liberacion": by_route({HALVES: halves["mes_ini_liberacion"]}),
-            "mes_fin_liberacion": by_route({HALVES: halves["mes_fin_liberacion"]}),
-            **{c: by_route({FINANCED: c}) for c in FINANCING_TRACE},
+            "mes_constitucion": amount("mes_constitucion", {HALVES: "_h_", INVESTMENT: "_i_"}),
+            "mes_ini_liberacion": amount("mes_ini_liberacion", {HALVES: "_h_"}),
+            "mes_fin_liberacion": amount("mes_fin_liberacion", {HALVES: "_h_"}),
+            **({c: by_route({FINANCED: c}) for c in FINANCING_TRACE} if financed else {}),
         }
     )
-    private = [c for c in picked.columns if c.startswith(("_d_", "_l_", "_f_"))]
+    private = [c for c in picked.columns if c.startswith(("_d_", "_h_", "_l_", "_i_", "_f_"))]
     signed = apply_signs(picked.drop(*private, "_ruta"))
     tagged = with_result_tags(with_previous_balance(signed), cfg.fecha_transicion)
-    own = [c for c in tagged.columns if c not in OUTPUT_COLUMNS]
-    return tagged.select(*own, *OUTPUT_COLUMNS)
+    whole = ensure_columns(tagged, FINANCING_COLUMNS)
+    own = [c for c in whole.columns if c not in OUTPUT_COLUMNS]
+    return whole.select(*own, *OUTPUT_COLUMNS)

@@ -50,6 +50,15 @@ def _given(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A table stored in fewer pieces than there are cores, dealt out to all of them.
+
+    A large table has more scan partitions than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _text(c: str) -> Column:
     return F.col(c).cast("string")
 
@@ -70,7 +79,7 @@ def base_receipts(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(364)
     )
     joined = (
-        _given(spark, sf, "lineitem")
+        _spread(_given(spark, sf, "lineitem"))
         .join(_given(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_given(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(_given(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))

@@ -15,6 +15,14 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The plans hold hundreds of small expressions; do not record a call site for each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Wide result tables keep generated code.
+    "spark.sql.codegen.maxFields": "200",
+    # The accrual compiles to methods above HotSpot's size limit for machine code; without this
+    # flag they stay interpreted and run at less than half the speed.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
