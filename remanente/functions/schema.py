@@ -37,25 +37,25 @@ def merged_fields(frames: Iterable[DataFrame]) -> dict[str, T.DataType]:
     return fields
 
 
+def _conform(frame: DataFrame, fields: dict[str, T.DataType]) -> DataFrame:
+    own = {f.name: f.dataType for f in frame.schema.fields}
+    columns = [
+        f"`{n}`" if own.get(n) == t
+        else f"CAST({f'`{n}`' if n in own else 'NULL'} AS {t.simpleString()}) AS `{n}`"
+        for n, t in fields.items()
+    ]
+    return frame.selectExpr(*columns)
+
+
 def align_schemas(frames: Sequence[DataFrame]) -> list[DataFrame]:
     """Give every frame the same columns, order and types; missing columns become typed nulls."""
     fields = merged_fields(frames)
-
-    def conform(frame: DataFrame) -> DataFrame:
-        present = set(frame.columns)
-        return frame.select(
-            *[
-                (F.col(n) if n in present else F.lit(None)).cast(t).alias(n)
-                for n, t in fields.items()
-            ]
-        )
-
-    return [conform(f) for f in frames]
+    return [_conform(f, fields) for f in frames]
 
 
 def union_aligned(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by name with missing columns as nulls and numeric types widened."""
-    return reduce(DataFrame.unionByName, align_schemas(frames))
+    return reduce(DataFrame.union, align_schemas(frames))
 
 
 def union_by_position(frames: Sequence[DataFrame]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["prepare", "lookup_queries", "accrual_queries"]
+MODULES = ["prepare", "lookup_queries", "accrual_queries", "primitives", "recon_queries"]
 
 
 def load() -> None:

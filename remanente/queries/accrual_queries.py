@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remanente.functions.schema import union_aligned
+from remanente.functions.schema import ensure_columns, union_aligned
 from remanente.operators import accounting, accrual, curves, fx, impairment, prep
 from remanente.plans import close
 from remanente.queries import stages as s
@@ -17,7 +17,7 @@ from remanente.queries.lookup_queries import (
     premium_valued,
 )
 from remanente.queries.prepare import contract_cost, direct_premium, factors, params, with_financing
-from remanente.queries.registry import KEYS, n, query, shown, total
+from remanente.queries.registry import KEYS, n, query, r, shown, total
 
 _ROW = [*KEYS, "tipo_contabilidad"]
 _AMOUNTS = ["valor_constitucion", "valor_liberacion", "valor_liberacion_acum", "saldo"]
@@ -43,7 +43,7 @@ def grouped(df: DataFrame, keys: list[str], amounts: dict[str, int]) -> DataFram
 
 # --- the smallest full slice ---------------------------------------------------------------------
 
-_SLICE = {"valor_constitucion": 4, "valor_liberacion": 4, "saldo": 4}
+_SLICE = {"valor_constitucion": 8, "valor_liberacion": 8, "saldo": 8}
 
 
 @query(
@@ -90,8 +90,6 @@ def _class_sql(name: str, routes: list[str]) -> str:
 
 
 def _classified(prepared: DataFrame, cfg) -> DataFrame:
-    from remanente.functions.schema import ensure_columns
-
     ready = ensure_columns(prepared, accrual.OPTIONAL_INPUT)
     routed = accrual.route_rows(
         accrual.with_rule_and_routes(accrual.with_period(ready, cfg), cfg)
@@ -191,8 +189,7 @@ def devengo_financiacion(t: Inputs) -> DataFrame:
 
 
 _DEV = ["tipo_insumo", "tipo_contabilidad", "ramo_sura", "regla_devengo", "estado_devengo", *_TAGS]
-_DEV_V = {"valor_constitucion": 2, "valor_liberacion": 2, "valor_liberacion_acum": 2, "saldo": 2,
-          "saldo_anterior": 2, "acreditacion_intereses": 2}
+_DEV_V = dict.fromkeys([*_SIGNED, "acreditacion_intereses"], 5)
 
 
 @query("devengar", _groups(_DEV, _DEV_V) + " FROM dev_mix GROUP BY ALL")
@@ -265,19 +262,17 @@ _MOVE = [*_ROW, "tipo_movimiento", "anio_liberacion"]
 
 @query(
     "pivotear",
-    f"SELECT {', '.join(_MOVE)}, {s.r('valor_md')} AS valor_md, {s.r('valor_ml', 3)} AS valor_ml "
+    f"SELECT {', '.join(_MOVE)}, {s.r('valor_md')} AS valor_md, {s.r('valor_ml', 6)} AS valor_ml "
     "FROM mov_rea",
 )
 def pivotear(t: Inputs) -> DataFrame:
     out = accounting.to_movements(ceded_impaired(t))
-    from remanente.queries.registry import r
-
-    return out.select(*_MOVE, r("valor_md").alias("valor_md"), r("valor_ml", 3).alias("valor_ml"))
+    return out.select(*_MOVE, r("valor_md").alias("valor_md"), r("valor_ml", 6).alias("valor_ml"))
 
 
 _ACC = ["tipo_insumo", "tipo_contabilidad", "ramo_sura", "moneda", "tipo_movimiento",
         "anio_liberacion", "naturaleza", "bt"]
-_ACC_V = {"valor_md": 2, "valor_ml": 0}
+_ACC_V = {"valor_md": 6, "valor_ml": 6}
 
 
 @query("output_contable", _groups(_ACC, _ACC_V) + " FROM cont_salida GROUP BY ALL")
@@ -301,10 +296,27 @@ CLOSE_INPUTS = [
     "nomenclatura",
 ]
 _CLOSE = [*_ACC, "onerosidad"]
+# Powers differ in the last digit between engines, so financed amounts are rounded first.
+_IRRATIONAL = "aplica_comp_financ = 1"
+_STEADY = {"valor_md": 4, "valor_ml": 2}
 
 
-@query("pcr_batch", _groups(_CLOSE, _ACC_V) + " FROM cont_pcr_marca GROUP BY ALL")
+@query(
+    "pcr_batch",
+    f"SELECT {', '.join(_CLOSE)}, COUNT(*) AS filas, "
+    + ", ".join(
+        s.total(f"CASE WHEN {_IRRATIONAL} THEN round({a}, {d}) ELSE {a} END", 6) + f" AS {a}"
+        for a, d in _STEADY.items()
+    )
+    + " FROM cont_pcr_marca GROUP BY ALL",
+)
 def pcr_batch(t: Inputs) -> DataFrame:
     tables = t.only(*CLOSE_INPUTS)
     out = close.accounting_close(close.accrual_output(tables, CFG), tables, CFG)
-    return grouped(out, _CLOSE, _ACC_V)
+    steady = {
+        a: F.when(F.expr(_IRRATIONAL), F.round(a, d)).otherwise(F.col(a))
+        for a, d in _STEADY.items()
+    }
+    return out.groupBy(*_CLOSE).agg(
+        n().alias("filas"), *[total(c, 6).alias(a) for a, c in steady.items()]
+    )

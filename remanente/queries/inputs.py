@@ -200,7 +200,7 @@ def cessions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def commissions(spark: SparkSession, sf: str) -> DataFrame:
-    amount = F.col("valor_prima_cedida") * F.col("x_impuesto")
+    amount = F.col("valor_prima_emitida") * F.col("x_impuesto")
     return (
         _ceded(spark, sf)
         .withColumn("tipo_insumo", F.lit("comision_rea_prop"))
@@ -227,7 +227,7 @@ SQL["cesion_rea"] = (
 )
 SQL["comision_rea"] = (
     "SELECT * REPLACE ('comision_rea_prop' AS tipo_insumo) FROM ("
-    f"SELECT {', '.join(RECEIPT + _CONTRACT)}, valor_prima_cedida * x_impuesto "
+    f"SELECT {', '.join(RECEIPT + _CONTRACT)}, valor_prima_emitida * x_impuesto "
     "AS valor_comision_rea FROM cedido)"
 )
 
@@ -353,7 +353,7 @@ def onerosity(spark: SparkSession, sf: str) -> DataFrame:
                 "fecha_fin_vigencia_poliza"
             ),
             booked.alias("fecha_calculo_onerosidad"),
-            (F.abs("valor_prima_emitida") / 1000).alias("valor_onerosidad"),
+            F.floor(F.abs("valor_prima_emitida") / 1000).cast("double").alias("valor_onerosidad"),
             "valor_prima_emitida",
         )
     )
@@ -365,7 +365,7 @@ SELECT 'onerosidad' AS tipo_insumo, tipo_negocio, compania, ramo_sura, poliza, r
   fecha_contabilizacion_recibo + CASE WHEN x_linea % 2 = 1 THEN 200 ELSE 20 END
     AS fecha_fin_vigencia_poliza,
   fecha_contabilizacion_recibo AS fecha_calculo_onerosidad,
-  abs(valor_prima_emitida) / 1000 AS valor_onerosidad, valor_prima_emitida
+  floor(abs(valor_prima_emitida) / 1000) AS valor_onerosidad, valor_prima_emitida
 FROM base WHERE ramo_sura = '084'"""
 
 

@@ -65,24 +65,18 @@ def _accounting_parameters() -> Iterable[tuple]:
 
 def _expenses() -> Iterable[tuple]:
     """Named channel and product, channel only, neither, and the unranked product only."""
-    scopes = [
-        ("AUTOMOBILE", "Brand#1", 0.10),
-        ("AUTOMOBILE", "*", 0.08),
-        ("*", "*", 0.05),
-        ("*", "Brand#2", 0.50),
-    ]
+    scopes = [("AUTOMOBILE", "Brand#1"), ("AUTOMOBILE", "*"), ("*", "*"), ("*", "Brand#2")]
     kinds = [
         "expedicion_comisiones",
         "expedicion_otros",
         "terremoto_factor_pprr",
         "terremoto_nota_tecnica",
     ]
-    for company, line, scope, (i, kind), (j, standard) in product(
-        COMPANIES, LINES, scopes, enumerate(kinds), enumerate(ESTANDARES)
+    for company, line, (p, scope), (i, kind), (j, standard) in product(
+        COMPANIES, LINES, enumerate(scopes), enumerate(kinds), enumerate(ESTANDARES)
     ):
-        channel, brand, share = scope
-        rate = round(share + 0.01 * i + 0.002 * j, 3)
-        yield company, line, channel, brand, kind, rate, standard
+        rate = ((4 * p + i + j) % 9 + 1) / 10
+        yield company, line, *scope, kind, rate, standard
 
 
 def _bt_rows() -> Iterable[tuple]:

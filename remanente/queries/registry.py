@@ -47,10 +47,10 @@ def shown(df: DataFrame, plain: Sequence[str], rounded: Sequence[str] = (), digi
     return df.select(*plain, *[r(c, digits).alias(c) for c in rounded])
 
 
-def total(column: str | Column, digits: int = 4) -> Column:
-    """Sum that does not depend on the order of the rows."""
+def total(column: str | Column, scale: int = 8) -> Column:
+    """Sum that does not depend on the order of the rows, exact to ``scale`` decimals."""
     x = F.col(column) if isinstance(column, str) else column
-    return r(F.sum(x.cast("decimal(24,8)")).cast("double"), digits)
+    return F.sum(x.cast(f"decimal(24,{scale})")).cast("double")
 
 
 def n() -> Column:
