@@ -12,7 +12,6 @@ from remanente.queries import stages as s
 from remanente.queries.inputs import CFG, CFG_CODED, Inputs
 from remanente.queries.lookup_queries import (
     ceded_impaired,
-    ceded_valued,
     premium_accrued,
     premium_valued,
 )
@@ -25,7 +24,7 @@ _SIGNED = [*_AMOUNTS, "saldo_anterior"]
 _TAGS = ["cohorte", "anio_liberacion", "transicion"]
 
 
-def _rows(source: str, plain: list[str], amounts: list[str], digits: int = 8, where="") -> str:
+def _rows(source: str, plain: list[str], amounts: list[str], digits: int = 4, where="") -> str:
     rounded = ", ".join(f"{s.r(a, digits)} AS {a}" for a in amounts)
     return f"SELECT {', '.join(plain)}, {rounded} FROM {source} {where}"
 
@@ -43,7 +42,7 @@ def grouped(df: DataFrame, keys: list[str], amounts: dict[str, int]) -> DataFram
 
 # --- the smallest full slice ---------------------------------------------------------------------
 
-_SLICE = {"valor_constitucion": 8, "valor_liberacion": 8, "saldo": 8}
+_SLICE = dict.fromkeys(["valor_constitucion", "valor_liberacion", "saldo"], 4)
 
 
 @query(
@@ -189,7 +188,7 @@ def devengo_financiacion(t: Inputs) -> DataFrame:
 
 
 _DEV = ["tipo_insumo", "tipo_contabilidad", "ramo_sura", "regla_devengo", "estado_devengo", *_TAGS]
-_DEV_V = dict.fromkeys([*_SIGNED, "acreditacion_intereses"], 5)
+_DEV_V = dict.fromkeys([*_SIGNED, "acreditacion_intereses"], 4)
 
 
 @query("devengar", _groups(_DEV, _DEV_V) + " FROM dev_mix GROUP BY ALL")
@@ -222,18 +221,29 @@ def fluctuacion_as_coded(t: Inputs) -> DataFrame:
 
 
 _DET = [*_ROW, "nit_reasegurador"]
-_DET_V = ["prob_incumplimiento_actual", "prob_incumplimiento_anterior",
-          "cambio_prob_incumplimiento", "constitucion_deterioro", "liberacion_deterioro"]
+_PD = ["prob_incumplimiento_actual", "prob_incumplimiento_anterior", "cambio_prob_incumplimiento"]
+_DET_V = ["constitucion_deterioro", "liberacion_deterioro"]
 
 
-@query("deterioro", _rows("det_rea", _DET, _DET_V))
+def _impairment_sql(source: str) -> str:
+    risk = ", ".join(f"{s.r(c, 8)} AS {c}" for c in _PD)
+    return _rows(source, [*_DET, risk], _DET_V)
+
+
+def _impairment(df: DataFrame) -> DataFrame:
+    return df.select(
+        *_DET, *[r(c, 8).alias(c) for c in _PD], *[r(c).alias(c) for c in _DET_V]
+    )
+
+
+@query("deterioro", _impairment_sql("det_rea"))
 def deterioro(t: Inputs) -> DataFrame:
-    return shown(ceded_impaired(t), _DET, _DET_V)
+    return _impairment(ceded_impaired(t))
 
 
-@query("deterioro__codigo", _rows("det_rea_coded", _DET, _DET_V))
+@query("deterioro__codigo", _impairment_sql("det_rea_coded"))
 def deterioro_as_coded(t: Inputs) -> DataFrame:
-    return shown(ceded_impaired(t, CFG_CODED), _DET, _DET_V)
+    return _impairment(ceded_impaired(t, CFG_CODED))
 
 
 # --- curves -------------------------------------------------------------------------------------------
@@ -262,17 +272,17 @@ _MOVE = [*_ROW, "tipo_movimiento", "anio_liberacion"]
 
 @query(
     "pivotear",
-    f"SELECT {', '.join(_MOVE)}, {s.r('valor_md')} AS valor_md, {s.r('valor_ml', 6)} AS valor_ml "
+    f"SELECT {', '.join(_MOVE)}, {s.r('valor_md')} AS valor_md, {s.r('valor_ml', 2)} AS valor_ml "
     "FROM mov_rea",
 )
 def pivotear(t: Inputs) -> DataFrame:
     out = accounting.to_movements(ceded_impaired(t))
-    return out.select(*_MOVE, r("valor_md").alias("valor_md"), r("valor_ml", 6).alias("valor_ml"))
+    return out.select(*_MOVE, r("valor_md").alias("valor_md"), r("valor_ml", 2).alias("valor_ml"))
 
 
 _ACC = ["tipo_insumo", "tipo_contabilidad", "ramo_sura", "moneda", "tipo_movimiento",
         "anio_liberacion", "naturaleza", "bt"]
-_ACC_V = {"valor_md": 6, "valor_ml": 6}
+_ACC_V = {"valor_md": 4, "valor_ml": 2}
 
 
 @query("output_contable", _groups(_ACC, _ACC_V) + " FROM cont_salida GROUP BY ALL")
@@ -296,27 +306,11 @@ CLOSE_INPUTS = [
     "nomenclatura",
 ]
 _CLOSE = [*_ACC, "onerosidad"]
-# Powers differ in the last digit between engines, so financed amounts are rounded first.
-_IRRATIONAL = "aplica_comp_financ = 1"
-_STEADY = {"valor_md": 4, "valor_ml": 2}
+_CLOSE_V = {"valor_md": 4, "valor_ml": 1}
 
 
-@query(
-    "pcr_batch",
-    f"SELECT {', '.join(_CLOSE)}, COUNT(*) AS filas, "
-    + ", ".join(
-        s.total(f"CASE WHEN {_IRRATIONAL} THEN round({a}, {d}) ELSE {a} END", 6) + f" AS {a}"
-        for a, d in _STEADY.items()
-    )
-    + " FROM cont_pcr_marca GROUP BY ALL",
-)
+@query("pcr_batch", _groups(_CLOSE, _CLOSE_V) + " FROM cont_pcr_marca GROUP BY ALL")
 def pcr_batch(t: Inputs) -> DataFrame:
     tables = t.only(*CLOSE_INPUTS)
     out = close.accounting_close(close.accrual_output(tables, CFG), tables, CFG)
-    steady = {
-        a: F.when(F.expr(_IRRATIONAL), F.round(a, d)).otherwise(F.col(a))
-        for a, d in _STEADY.items()
-    }
-    return out.groupBy(*_CLOSE).agg(
-        n().alias("filas"), *[total(c, 6).alias(a) for a, c in steady.items()]
-    )
+    return grouped(out, _CLOSE, _CLOSE_V)

@@ -131,7 +131,7 @@ def join_param_financiacion(t: Inputs) -> DataFrame:
     ).select(*_FIN)
 
 
-_LIR = ", ".join(f"{s.r(c, 9)} AS {c}" for c in _FACTORS)
+_LIR = ", ".join(f"{s.r(c, 7)} AS {c}" for c in _FACTORS)
 
 
 @query(
@@ -139,7 +139,7 @@ _LIR = ", ".join(f"{s.r(c, 9)} AS {c}" for c in _FACTORS)
 )
 def join_factores_lir(t: Inputs) -> DataFrame:
     out = with_financing(t, direct_premium(t))
-    return shown(out, [*KEYS, "tipo_contabilidad"], _FACTORS, 9)
+    return shown(out, [*KEYS, "tipo_contabilidad"], _FACTORS, 7)
 
 
 # The legacy matching is meant for one loaded curve month: the one before the close.
@@ -163,7 +163,7 @@ def join_factores_lir_as_coded(t: Inputs) -> DataFrame:
         one,
         CFG_CODED,
     )
-    return shown(out, [*KEYS, "tipo_contabilidad"], _FACTORS, 9)
+    return shown(out, [*KEYS, "tipo_contabilidad"], _FACTORS, 7)
 
 
 _PD = ["prob_incumplimiento_actual", "prob_incumplimiento_anterior"]

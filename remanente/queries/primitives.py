@@ -500,7 +500,7 @@ def union_diagonal_relaxed(t: Inputs) -> DataFrame:
 @query(
     "union_diagonal",
     f"""
-SELECT tipo_insumo, ramo_sura, estado_devengo, COUNT(*) AS filas, {s.total('saldo', 5)} AS saldo
+SELECT tipo_insumo, ramo_sura, estado_devengo, COUNT(*) AS filas, {s.total('saldo')} AS saldo
 FROM dev_mix WHERE regla_devengo IN ('diario', 'mensual_devengo_50_50') GROUP BY 1, 2, 3""",
 )
 def union_diagonal(t: Inputs) -> DataFrame:
@@ -510,7 +510,7 @@ def union_diagonal(t: Inputs) -> DataFrame:
         F.col("regla_devengo").isin("diario", "mensual_devengo_50_50")
     )
     return out.groupBy("tipo_insumo", "ramo_sura", "estado_devengo").agg(
-        n().alias("filas"), total("saldo", 5).alias("saldo")
+        n().alias("filas"), total("saldo").alias("saldo")
     )
 
 
@@ -544,7 +544,7 @@ def union_vstack(t: Inputs) -> DataFrame:
     "componentes_no_devengables",
     f"""
 SELECT tipo_insumo, tipo_contabilidad, tipo_movimiento, COUNT(*) AS filas,
-  {s.total('valor_ml', 6)} AS valor_ml FROM mov_prima_cartera GROUP BY 1, 2, 3""",
+  {s.total('valor_ml', 2)} AS valor_ml FROM mov_prima_cartera GROUP BY 1, 2, 3""",
 )
 def componentes_no_devengables(t: Inputs) -> DataFrame:
     movements = accounting.to_movements(premium_valued(t))
@@ -552,7 +552,7 @@ def componentes_no_devengables(t: Inputs) -> DataFrame:
     return (
         accounting.append_non_accruable(movements, balances)
         .groupBy("tipo_insumo", "tipo_contabilidad", "tipo_movimiento")
-        .agg(n().alias("filas"), total("valor_ml", 6).alias("valor_ml"))
+        .agg(n().alias("filas"), total("valor_ml", 2).alias("valor_ml"))
     )
 
 
