@@ -116,9 +116,13 @@ def attach_expenses(receipts: DataFrame, expenses: DataFrame) -> DataFrame:
     """Best expense row per receipt, expense type and standard; more specific rows win.
 
     The ``row_number() == 1`` filter is applied inside every map task before the shuffle as
-    well, so a receipt key shared by many rows never meets in one task as a whole.
+    well, so a receipt key shared by many rows never meets in one task as a whole. A hash of
+    the ten text keys leads them, so that both sorts compare one number for most rows.
     """
-    candidates = expense_candidates(receipts, expenses)
+    keys = [*EXPENSE_RECEIPT_KEYS, "tipo_gasto", "tipo_contabilidad"]
+    candidates = expense_candidates(receipts, expenses).withColumn(
+        "_g_huella", F.xxhash64(*[F.col(k) for k in keys])
+    )
     ties = [
         c
         for c in (
@@ -131,9 +135,7 @@ def attach_expenses(receipts: DataFrame, expenses: DataFrame) -> DataFrame:
         )
         if c in receipts.columns
     ]
-    best_first = Window.partitionBy(
-        *EXPENSE_RECEIPT_KEYS, "tipo_gasto", "tipo_contabilidad"
-    ).orderBy(
+    best_first = Window.partitionBy("_g_huella", *keys).orderBy(
         F.col("prioridad_match").asc_nulls_last(),
         F.col("_g_fecha_inicio").desc(),
         "porc_gasto",

@@ -50,13 +50,17 @@ def _given(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+FEW_PIECES = 8
+
+
 def _spread(df: DataFrame) -> DataFrame:
-    """A table stored in fewer pieces than there are cores, dealt out to all of them.
+    """A table of a few scan pieces (about 1 GB at most), dealt out to all cores.
 
-    A large table has more scan partitions than cores and is left alone.
+    Larger tables have scan partitions of their own and are not shuffled.
     """
+    pieces = df.rdd.getNumPartitions()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if pieces <= FEW_PIECES and pieces < cores else df
 
 
 def _text(c: str) -> Column:

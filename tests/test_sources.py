@@ -67,15 +67,18 @@ def test_writing_a_close_again_replaces_only_that_close(spark, tmp_path):
 @needs_data
 def test_whole_close_is_written_and_keeps_its_identities(spark):
     t = Inputs(spark, SF).only(*CLOSE_INPUTS)
-    accrual_path, accounting_path = close.run_close(spark, t, CFG, f"{shared_folder(spark)}/cierre")
-    accrued = spark.read.parquet(accrual_path)
+    done = close.run_close(spark, t, CFG, f"{shared_folder(spark)}/cierre")
+    accrued = spark.read.parquet(done.accrual_path)
+    assert done.counts["filas_devengo"] == accrued.count()
+    assert done.counts["dias_sin_cuadrar"] == done.counts["sin_moneda"] == 0
     assert accrued.filter("control_suma_dias = false").count() == 0
     off = accrued.filter(
         "abs(saldo - (coalesce(saldo_anterior, 0) + coalesce(valor_constitucion, 0) "
         "+ coalesce(valor_liberacion, 0) + coalesce(acreditacion_intereses, 0))) > 1e-6"
     )
     assert off.count() == 0
-    booked = spark.read.parquet(accounting_path)
+    booked = spark.read.parquet(done.accounting_path)
+    assert done.counts["filas_contables"] == booked.count() > done.counts["con_bt"] > 0
     assert booked.filter("onerosidad IS NULL").count() == 0
     kinds = {r[0] for r in booked.select("tipo_movimiento").distinct().collect()}
     assert set(accounting.MOVIMIENTOS) - kinds <= {"acreditacion_intereses"}
