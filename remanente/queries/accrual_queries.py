@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remanente.functions.schema import ensure_columns, union_aligned
-from remanente.operators import accounting, accrual, curves, fx, impairment, prep
+from remanente.operators import accounting, accrual, curves, fx, prep
 from remanente.plans import close
 from remanente.queries import stages as s
 from remanente.queries.inputs import CFG, CFG_CODED, Inputs

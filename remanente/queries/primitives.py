@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remanente.functions import dates, schema
@@ -18,7 +18,7 @@ from remanente.queries.lookup_queries import (
     premium_accrued,
     premium_valued,
 )
-from remanente.queries.prepare import direct_premium, params, with_financing
+from remanente.queries.prepare import direct_premium, params
 from remanente.queries.registry import KEYS, n, query, r, shown, total
 from remanente.sources.tables import replace_values
 
