@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from remanente.llm import bpe
-from remanente.llm.common import Query, table, texts
+from remanente.llm import bpe, prefix_counts, wavelet
+from remanente.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
 STATEMENTS: dict[str, str] = {}
@@ -23,4 +23,16 @@ def query(name: str):
 @query("op8_bpe_encode_decode")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.encode_decode_digests(texts(table(spark, folder, "documents")), path)
+    return bpe.encode_decode_digests(table(spark, folder, "documents"), path)
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return prefix_counts.count_tokens(table(spark, folder, "documents"), path)
+
+
+@query("op4_wavelet_shards")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return wavelet.read_documents(wavelet.write_shards(table(spark, folder, "documents"), path))
