@@ -58,3 +58,23 @@ def over_texts(
                 )
 
     return df.mapInArrow(run, T.StructType(kept + list(added)))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """``row`` with all columns but the text, and ``text``: nothing an operator adds can clash."""
+    kept = [F.col(c) for c in docs.columns if c != "text"] or [F.lit(None).alias("none")]
+    return docs.select(F.struct(*kept).alias("row"), F.col("text"))
+
+
+def restored(made: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from ``row`` and the new ``text``; n_chars follows the text."""
+    out = []
+    for c in docs.columns:
+        if c == "text":
+            out.append(F.col("text"))
+        elif c == "n_chars":
+            n = F.length("text").cast(docs.schema[c].dataType)
+            out.append(F.coalesce(n, F.col("row")[c]).alias(c))
+        else:
+            out.append(F.col("row")[c].alias(c))
+    return made.select(*out)

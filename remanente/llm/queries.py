@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from remanente.llm import bpe, prefix_counts, wavelet
+from remanente.llm import bpe, decontaminate, prefix_counts, wavelet
 from remanente.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -36,3 +36,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return wavelet.read_documents(wavelet.write_shards(table(spark, folder, "documents"), path))
+
+
+@query("op6_benchmark_decontamination")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    items = table(spark, folder, "benchmark")
+    return decontaminate.report(table(spark, folder, "documents"), items)
