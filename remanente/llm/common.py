@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -78,3 +78,32 @@ def restored(made: DataFrame, docs: DataFrame) -> DataFrame:
         else:
             out.append(F.col("row")[c].alias(c))
     return made.select(*out)
+
+
+#: Bits of a key filter: a fixed size, whatever the number of keys.
+FILTER_BITS = 1 << 22
+
+
+def _filter_place(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def maybe_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key may be among ``keys`` (a column of the same name).
+
+    No row with such a key is lost; the others go but for chance hits. What is broadcast is a bitmap
+    of FILTER_BITS bits in 64-bit words, so it cannot grow with the data.
+    """
+    at = _filter_place(key)
+    bitmap = (
+        keys.select(F.shiftright(at, 6).alias("filter_word"), (at % 64).cast("int").alias("bit"))
+        .groupBy("filter_word")
+        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("filter_bits"))
+    )
+    hit = F.getbit("filter_bits", (at % 64).cast("int")) == 1
+    return (
+        df.withColumn("filter_word", F.shiftright(at, 6))
+        .join(F.broadcast(bitmap), "filter_word")
+        .where(hit)
+        .drop("filter_word", "filter_bits")
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from remanente.llm import bpe, decontaminate, prefix_counts, wavelet
+from remanente.llm import bpe, decontaminate, minhash, prefix_counts, wavelet
 from remanente.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -42,3 +42,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     items = table(spark, folder, "benchmark")
     return decontaminate.report(table(spark, folder, "documents"), items)
+
+
+@query("op7_minhash_near_duplicates")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.groups(table(spark, folder, "documents"))
