@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from remanente.llm import bpe, decontaminate, minhash, prefix_counts, wavelet
+from remanente.llm import bpe, decontaminate, minhash, prefix_counts, toxicity, wavelet
 from remanente.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -47,3 +47,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_minhash_near_duplicates")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.groups(table(spark, folder, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
