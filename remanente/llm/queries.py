@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from remanente.llm import bpe, decontaminate, minhash, prefix_counts, toxicity, wavelet
+from remanente.llm import bpe, decontaminate, minhash, pii, prefix_counts, toxicity, wavelet
 from remanente.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_toxicity")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op3_personal_data")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
