@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from remanente.llm import bpe, decontaminate, minhash, pii, prefix_counts, toxicity, wavelet
+from remanente.llm import (
+    bpe,
+    decontaminate,
+    minhash,
+    pii,
+    prefix_counts,
+    toxicity,
+    url_filter,
+    wavelet,
+)
 from remanente.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -57,3 +66,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_personal_data")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
+
+
+@query("op9_url_filters")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"))
