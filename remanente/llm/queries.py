@@ -9,6 +9,7 @@ from remanente.llm import (
     bpe,
     decontaminate,
     minhash,
+    paragraph_sketch,
     pii,
     prefix_counts,
     toxicity,
@@ -71,3 +72,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_url_filters")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"))
+
+
+@query("op2_document_fingerprints")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraph_sketch.fingerprints(table(spark, folder, "documents"))
