@@ -7,7 +7,9 @@ with the logarithm of a group's longest chain. Only DataFrame operations are use
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remanente.llm.common import written
@@ -50,3 +52,52 @@ def components(edges: DataFrame) -> DataFrame:
         before, state = state, _state(now)
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return stars.union(stars.select(F.col("label").alias("node"), "label").distinct())
+
+
+def bucket_groups(
+    members: DataFrame,
+    fits: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+    confirmed: Callable[[DataFrame], DataFrame],
+    step: int = 16,
+) -> DataFrame:
+    """node, label: groups of nodes linked by confirmed pairs, for nodes with a link.
+
+    ``members`` has key, node and what ``fits`` reads of two members of one bucket (key); ``fits``
+    must hold for every pair that can be linked. ``confirmed`` keeps the linked ones of pairs (a, b).
+
+    All of a bucket are compared with its smallest node first. Then those that are still in other
+    groups are compared with one in ``spread`` of their bucket, ``spread`` falling by ``step`` in each
+    round down to 1: at the end every fitting pair of a bucket has been compared or is in one group.
+    So a bucket of many linked nodes costs few comparisons, and no pair is lost.
+    """
+    extra = [c for c in members.columns if c not in ("key", "node")]
+
+    def pairs(left: DataFrame, right: DataFrame, also: Column | None = None) -> DataFrame:
+        renamed = right.select("key", *[F.col(c).alias(f"{c}_b") for c in right.columns if c != "key"])
+        near = fits(F.col, lambda c: F.col(f"{c}_b")) & (F.col("node") != F.col("node_b"))
+        near = near if also is None else near & also
+        found = left.join(renamed, "key").where(near)
+        return found.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+
+    least = members.groupBy("key").agg(F.min("node").alias("node"))
+    found = written(confirmed(pairs(members, members.join(least, ["key", "node"]))), "links")
+    left, spread = members, None
+    while True:
+        labels = components(found)
+        left = left.select("key", "node", *extra).join(labels, "node", "left")
+        left = left.withColumn("label", F.coalesce("label", "node"))
+        open_ = left.groupBy("key").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
+        )
+        open_ = open_.where("low < high").select("key", "size")
+        left = written(left.join(open_, "key"), "buckets")
+        most = left.agg(F.max("size")).first()[0]
+        left = left.drop("size")
+        if most is None or spread == 1:
+            return labels
+        spread = max(1, (most if spread is None else min(spread, most)) // step)
+        chosen = left.where(F.pmod(F.xxhash64("node"), F.lit(spread)) == 0)
+        apart = F.col("label") != F.col("label_b")
+        if spread == 1:
+            apart &= F.col("node") > F.col("node_b")
+        found = written(found.union(confirmed(pairs(left, chosen, apart))), "links")

@@ -18,15 +18,15 @@ and text are used, so other columns cannot clash. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remanente.llm.common import maybe_in, over_texts, texts, written
-from remanente.llm.components import components
+from remanente.llm.components import bucket_groups
 
 SHINGLE = 5
 #: A pair at similarity 0.75 shares no band with a chance of (1 - 0.75**5) ** 48, or 2 in a million.
@@ -166,7 +166,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
     rows = classes.select("node", "n_shingles", F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.min("node").alias("rep"), F.max("node").alias("most"))
     buckets = buckets.where("rep < most")
-    members = written(rows.join(buckets, "key").select("key", "node", "n_shingles", "rep"), "buckets")
+    members = written(rows.join(buckets, "key").select("key", "node", "n_shingles"), "buckets")
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
     sets = written(
         maybe_in(texts(docs), "doc_id", wanted)
@@ -174,43 +174,12 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
         .select(F.col("doc_id").alias("node"), "text"),
         "candidates",
     )
-    # Sets of sizes further apart than this cannot be similar enough.
-    first = members.where("node <> rep").select(
-        F.col("node").alias("a"), F.col("rep").alias("b")
-    )
-    found = written(similar(first.distinct(), sets, percent), "links")
-    left = members.drop("rep")
-    spread = None
-    while True:
-        labels = components(found)
-        left = left.drop("label").join(labels, "node", "left")
-        left = left.withColumn("label", F.coalesce("label", "node"))
-        open_ = left.groupBy("key").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")
-        )
-        open_ = open_.where("low < high").select("key", "n")
-        left = written(left.join(open_, "key"), "buckets")
-        most = left.agg(F.max("n")).first()[0]
-        left = left.drop("n")
-        if most is None or spread == 1:
-            return labels
-        # One in ``spread`` members stands for its bucket: more of them in each round, at last all.
-        spread = max(1, (most if spread is None else min(spread, most)) // 16)
-        chosen = left.where(F.pmod(F.xxhash64("node"), F.lit(spread)) == 0).select(
-            "key",
-            F.col("node").alias("b"),
-            F.col("label").alias("label_b"),
-            F.col("n_shingles").alias("n_b"),
-        )
-        fits = (
-            (100 * F.least("n_shingles", "n_b") >= percent * F.greatest("n_shingles", "n_b"))
-            & (F.col("label") != F.col("label_b"))
-            & (F.col("node") != F.col("b"))
-        )
-        if spread == 1:
-            fits &= F.col("node") > F.col("b")
-        pairs = left.join(chosen, "key").where(fits).select(F.col("node").alias("a"), "b")
-        found = written(found.union(similar(pairs.distinct(), sets, percent)), "links")
+
+    def sizes_fit(one: Callable[[str], Column], other: Callable[[str], Column]) -> Column:
+        n, m = one("n_shingles"), other("n_shingles")
+        return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+    return bucket_groups(members, sizes_fit, lambda pairs: similar(pairs, sets, percent))
 
 
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

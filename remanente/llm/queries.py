@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from remanente.llm import (
     bpe,
     decontaminate,
+    line_dedup,
     minhash,
     paragraph_sketch,
     pii,
@@ -77,3 +78,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_document_fingerprints")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return paragraph_sketch.fingerprints(table(spark, folder, "documents"))
+
+
+@query("op1_line_dedup")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.report(table(spark, folder, "documents"))
