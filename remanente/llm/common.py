@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -16,6 +17,15 @@ from remanente.session import shared_folder
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def findable(spark: SparkSession) -> None:
+    """Lets Python workers import this package where it is not installed but its folder is there."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -42,6 +52,7 @@ def over_texts(
     slice_rows: int = 512,
 ) -> DataFrame:
     """All columns but the text, and those that ``rows`` makes from a list of texts (null: empty)."""
+    findable(df.sparkSession)
     added = T._parse_datatype_string(adds)
     kept = [f for f in df.schema if keep_text or f.name != text]
     names = [f.name for f in kept]

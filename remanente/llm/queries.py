@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +26,7 @@ QUERIES: dict[str, Query] = {}
 STATEMENTS: dict[str, str] = {}
 
 
-def query(name: str):
+def query(name: str) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         QUERIES[name] = build
         return build
@@ -83,3 +86,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_line_dedup")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.report(table(spark, folder, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    STATEMENTS["pipeline"] = corpus_pipeline.ORACLE_SQL
