@@ -85,7 +85,7 @@ def shingles(text: str) -> np.ndarray:
 
 def signatures(sets: list[np.ndarray], m: int) -> np.ndarray:
     """SuperMinHash signatures, one row for each set that is not empty."""
-    sizes = np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets], np.int64)
     out = np.full((len(sets), m), np.inf)
     flat, x = out.reshape(-1), np.concatenate(sets) if len(sets) else np.empty(0, np.uint64)
     doc = np.repeat(np.arange(len(sets)), sizes)
