@@ -1,16 +1,15 @@
 """URLs judged by rules, and by trust and distrust that spread over the links between hosts.
 
-Hosts with pages under an allowing rule are trusted seeds, those with pages under a blocking one
-distrusted seeds, each by the share of its pages. Trust is personalised PageRank along links from the
-trusted seeds; distrust is the same along reversed links from the distrusted ones, so that hosts
-which link to bad hosts are distrusted. A seed hands out its share of pages, not its part of 1, so
-the thresholds do not depend on the number of seeds. A host is blocked where
+Hosts with most of their pages under an allowing rule are trusted seeds, those with most under a
+blocking one distrusted seeds. Trust is personalised PageRank along links from the trusted seeds;
+distrust is the same along reversed links from the distrusted ones, so that hosts which link to bad
+hosts are distrusted. Every seed hands out 1, not its share of 1, so the thresholds do not depend on
+the number of seeds. A host is blocked where
 its distrust reaches LIMIT and exceeds its trust; every other host is allowed. A rule that fits a url
 overrides that.
 
 A null url, or one without "://", has an empty host and path and no rule; an empty host has no links,
-so it is allowed. A null page has no links. A seed that both kinds of rules reach counts for both.
-Repeated links count as often as they occur, links of a host to itself not at all. Repeated rows each
+so it is allowed. A null page has no links. Repeated links count as often as they occur, links of a host to itself not at all. Repeated rows each
 give their row. Only page_id, url and html are used, so other columns cannot clash. Empty tables give
 no rows. Only DataFrame operations are used.
 """
@@ -31,7 +30,7 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 #: Share that a host hands on, rounds of handing on, and least distrust to block.
-DAMPING, ROUNDS, LIMIT = 0.85, 12, 0.1
+DAMPING, ROUNDS, LIMIT = 0.85, 12, 0.05
 #: Rounds after which the shares are written, so that the plan stays short.
 CUT_EVERY = 4
 
@@ -82,7 +81,7 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """kind, host, score after some rounds from seeds (kind, host, weight) over weighted edges.
+    """kind, host, score after some rounds from seeds (kind, host) over weighted edges.
 
     ``edges`` has kind, src, dst and n, the number of links.
     """
@@ -93,7 +92,7 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFram
         ),
         "links",
     )
-    first = seeds.select("kind", "host", ((1 - DAMPING) * F.col("weight")).alias("score"))
+    first = seeds.select("kind", "host", F.lit(1 - DAMPING).alias("score"))
     now = first
     for k in range(1, rounds + 1):
         handed = (
@@ -121,18 +120,10 @@ def host_scores(pages: DataFrame, rules=RULES, rounds: int = ROUNDS) -> DataFram
         F.count(F.when(verdict == "allow", 1)).alias("trust"),
         F.count(F.when(verdict == "block", 1)).alias("distrust"),
     )
-    weighed = pages_of.select(
-        "host",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(k).alias("kind"), (F.col(k) / F.col("n")).alias("weight"))
-                    for k in ("trust", "distrust")
-                ]
-            )
-        ).alias("x"),
+    kind = F.when(2 * F.col("trust") > F.col("n"), "trust").when(
+        2 * F.col("distrust") > F.col("n"), "distrust"
     )
-    seeds = written(weighed.select("x.kind", "host", "x.weight").where("weight > 0"), "seeds")
+    seeds = written(pages_of.select(kind.alias("kind"), "host").where("kind IS NOT NULL"), "seeds")
     edges = links.select(F.lit("trust").alias("kind"), "src", "dst", "n").union(
         links.select(
             F.lit("distrust").alias("kind"),
