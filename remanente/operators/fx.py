@@ -45,7 +45,7 @@ def fx_fluctuation(accrued: DataFrame, rates: DataFrame, cfg: RunConfig) -> Data
     if not cfg.as_coded:
         interest = F.coalesce(interest, F.lit(0.0))
     zero = F.lit(0.0)
-    rated = attach_fx_rates(rows, rates)
+    rated = attach_fx_rates(rows, rates, cfg)
     rate_columns = [c for c in rated.columns if c.startswith("tasa_cambio_")]
     neutral = rated.withColumns(
         {c: F.when(foreign, F.col(c)).otherwise(1.0) for c in rate_columns}

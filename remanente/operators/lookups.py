@@ -7,6 +7,7 @@ shuffled with skew splitting above it.
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -180,29 +181,39 @@ def mark_fifty_fifty(base: DataFrame, exceptions: DataFrame) -> DataFrame:
     return ruled.withColumn(FLAG_5050, flag.cast("int")).drop("_excepcion")
 
 
-def attach_fx_rates(base: DataFrame, rates: DataFrame) -> DataFrame:
+def attach_fx_rates(base: DataFrame, rates: DataFrame, cfg: RunConfig) -> DataFrame:
     """Rates at the valuation date, the previous close, the day after each, and recognition.
 
-    Local standards read the day after a close, the corporate standard the close itself. The
-    valuation dates are literals in an accrued base, so their filters reach the rate scan.
+    Local standards read the day after a close, the corporate standard the close itself. Those four
+    dates are fixed in a run: their rates stand side by side in one row per currency. That table
+    has as many rows as there are currencies, however large the base, and so it is broadcast; rows
+    are not dealt out by currency, of which one is most common.
     """
-    wanted = {
-        "tasa_cambio_fecha_valoracion_corporativo": F.col("fecha_valoracion"),
-        "tasa_cambio_fecha_valoracion_local": F.date_add("fecha_valoracion", 1),
-        "tasa_cambio_fecha_valoracion_anterior_corporativo": F.col("fecha_valoracion_anterior"),
-        "tasa_cambio_fecha_valoracion_anterior_local": F.date_add("fecha_valoracion_anterior", 1),
-        "tasa_cambio_fecha_constitucion": F.col("fecha_constitucion"),
+    one = timedelta(days=1)
+    closes = {
+        "tasa_cambio_fecha_valoracion_corporativo": cfg.fecha_valoracion,
+        "tasa_cambio_fecha_valoracion_local": cfg.fecha_valoracion + one,
+        "tasa_cambio_fecha_valoracion_anterior_corporativo": cfg.cierre_anterior,
+        "tasa_cambio_fecha_valoracion_anterior_local": cfg.cierre_anterior + one,
     }
-    out = base
-    for name, day in wanted.items():
-        lookup = rates.select(
-            F.col("fecha").alias("_fecha_tc"),
-            F.col("moneda_origen").alias("_moneda_tc"),
-            F.col("tasa_cambio").cast("double").alias(name),
-        )
-        at = (day == F.col("_fecha_tc")) & (F.col("moneda") == F.col("_moneda_tc"))
-        out = out.join(lookup, at, "left").drop("_fecha_tc", "_moneda_tc")
-    return out.withColumns({n: F.coalesce(n, F.lit(1.0)) for n in wanted})
+    recognised = "tasa_cambio_fecha_constitucion"
+    rate = F.col("tasa_cambio").cast("double")
+    pivoted = (
+        rates.filter(F.col("fecha").isin(*closes.values()))
+        .groupBy(F.col("moneda_origen").alias("_moneda_tc"))
+        .agg(*[F.max(F.when(F.col("fecha") == d, rate)).alias(n) for n, d in closes.items()])
+    )
+    by_day = rates.select(
+        F.col("fecha").alias("_fecha_tc"),
+        F.col("moneda_origen").alias("_moneda_dia"),
+        rate.alias(recognised),
+    )
+    same_day = (F.col("fecha_constitucion") == F.col("_fecha_tc")) & (
+        F.col("moneda") == F.col("_moneda_dia")
+    )
+    out = base.join(F.broadcast(pivoted), F.col("moneda") == F.col("_moneda_tc"), "left")
+    out = out.join(by_day, same_day, "left").drop("_moneda_tc", "_moneda_dia", "_fecha_tc")
+    return out.withColumns({n: F.coalesce(n, F.lit(1.0)) for n in [*closes, recognised]})
 
 
 def attach_financing_params(base: DataFrame, params: DataFrame) -> DataFrame:

@@ -213,13 +213,26 @@ def proportional_recovery(
     return with_accrual_terms(termed, "fecha_operacion", share)
 
 
-def _contract_base(df, rolled, first_amount, cfg) -> tuple[Column, Column]:
-    """Base amount and term start: what is left, spread anew, when the row carries a balance."""
-    if rolled is None:
+def _contract_base(
+    df: DataFrame, rolled: bool | None, first_amount: Column, cfg: RunConfig
+) -> tuple[Column, Column]:
+    """Base amount and term start: what is left, spread anew, when the row carries a balance.
+
+    Without a choice by ``rolled`` each row decides by its own balance. As coded, a column of that
+    name decides for all rows.
+    """
+    first_start = level_date("fecha_inicio_vigencia")
+    if rolled is None and cfg.as_coded:
         rolled = "saldo_anterior" in df.columns
+    if rolled is None and "saldo_anterior" in df.columns:
+        carried = F.col("saldo_anterior").isNotNull()
+        return (
+            F.when(carried, F.col("saldo_anterior")).otherwise(first_amount),
+            F.when(carried, F.lit(cfg.inicio_periodo)).otherwise(first_start),
+        )
     if rolled:
         return F.col("saldo_anterior"), F.lit(cfg.inicio_periodo)
-    return first_amount, level_date("fecha_inicio_vigencia")
+    return first_amount, first_start
 
 
 def contract_cost(

@@ -119,7 +119,7 @@ s.ALL["prima_tasas"] = s.with_rates("prima_fechada")
 )
 def join_tasas_cambio(t: Inputs) -> DataFrame:
     dated = accrual.with_period(direct_premium(t), CFG)
-    return lookups.attach_fx_rates(dated, t["tasa_cambio"]).select(
+    return lookups.attach_fx_rates(dated, t["tasa_cambio"], CFG).select(
         *KEYS, "tipo_contabilidad", "moneda", "fecha_constitucion", *_RATES
     )
 
@@ -145,8 +145,9 @@ def join_factores_lir(t: Inputs) -> DataFrame:
 # The legacy matching is meant for one loaded curve month: the one before the close.
 _ONE_CURVE = 199804
 s.ALL["una_curva"] = f"SELECT * FROM factores WHERE mesid_curva = {_ONE_CURVE}"
+s.ALL["una_curva_mapa"] = s.STAGES["curva_mapa"].replace("FROM factores", "FROM una_curva")
 s.ALL["prima_una_curva"] = s.STAGES["prima_financ"].replace(
-    "JOIN factores AS", "JOIN una_curva AS"
+    "JOIN curva_mapa AS", "JOIN una_curva_mapa AS"
 )
 
 

@@ -334,18 +334,13 @@ def win_best_expense(t: Inputs) -> DataFrame:
     )
 
 
-_STARS = " + ".join(f"(CASE WHEN f.{c} = '*' THEN 1 ELSE 0 END)" for c in s._WILD)
-_MATCH = " AND ".join(f"(b.{c} = f.{c} OR f.{c} = '*')" for c in s._WILD)
-
-
 @query(
     "win_best_financing",
     f"""
-SELECT {', '.join('b.' + k for k in KEYS)}, b.tipo_contabilidad, MIN(CASE WHEN f.moneda IS NOT NULL THEN {_STARS} END) AS nivel_comodin
-FROM (SELECT *, ROW_NUMBER() OVER ({s._ROW_ORDER}) AS fila FROM prima_directo) AS b
-LEFT JOIN componente_financiacion AS f
-  ON b.tipo_contabilidad = f.tipo_contabilidad AND b.moneda = f.moneda AND {_MATCH}
-GROUP BY b.fila, {', '.join('b.' + k for k in KEYS)}, b.tipo_contabilidad""",
+SELECT {', '.join('b.' + k for k in KEYS)}, b.tipo_contabilidad,
+  CAST(k.regla.n AS INT) AS nivel_comodin
+FROM prima_directo AS b LEFT JOIN prima_financ_regla AS k
+  ON {s.same_financing_keys("b", "k")}""",
 )
 def win_best_financing(t: Inputs) -> DataFrame:
     """Wildcards of the chosen financing rule: fewest first."""

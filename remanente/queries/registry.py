@@ -36,16 +36,15 @@ def bound(build: Build) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf: build(Inputs(spark, sf))
 
 
-def off_tie(column: str | Column, digits: int) -> Column:
-    """Moved a little, off the decimal grid: halfway values then round alike in every engine."""
+def exact(column: str | Column) -> Column:
+    """Ten decimals, on which every engine agrees and rounds half away from zero alike."""
     x = F.col(column) if isinstance(column, str) else column
-    return x + F.lit(float(f"3.1415926e-{digits + 2}"))
+    return x.cast("decimal(38,10)")
 
 
 def r(column: str | Column, digits: int = 4) -> Column:
-    """Rounded value without negative zero."""
-    x = F.round(off_tie(column, digits), digits)
-    return F.when(x == 0, 0.0).otherwise(x)
+    """Rounded value; of decimals, so that zero has no sign."""
+    return F.round(exact(column), digits).cast("double")
 
 
 def shown(df: DataFrame, plain: Sequence[str], rounded: Sequence[str] = (), digits: int = 4):
@@ -54,8 +53,8 @@ def shown(df: DataFrame, plain: Sequence[str], rounded: Sequence[str] = (), digi
 
 
 def total(column: str | Column, scale: int = 4) -> Column:
-    """Sum that does not depend on the order of the rows, exact to ``scale`` decimals."""
-    return F.sum(off_tie(column, scale).cast(f"decimal(24,{scale})")).cast("double")
+    """Sum of the unrounded amounts in decimals, rounded once, whatever the order of the rows."""
+    return F.round(F.sum(exact(column)), scale).cast("double")
 
 
 def n() -> Column:

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 
 PARTITION = "fecha_valoracion"
 
 
-def write_close(result: DataFrame, path: str) -> None:
-    """Replace the partition of this close and leave other closes as they are."""
+def write_close(result: DataFrame, path: str, day: date | None = None) -> None:
+    """Replace the partition of this close and leave other closes as they are.
+
+    With ``day``, the close of that day is replaced also by a result without rows.
+    """
+    if day is not None:
+        result.drop(PARTITION).write.mode("overwrite").parquet(f"{path}/{PARTITION}={day}")
+        return
     (
         result.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
         .parquet(path)
     )
+
+
+def read_close(like: DataFrame, path: str, day: date) -> DataFrame:
+    """The close of a day, under the columns just written, whatever older closes hold."""
+    closes = like.sparkSession.read.schema(like.schema).parquet(path)
+    return closes.filter(closes[PARTITION] == day)

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import os
 from datetime import date
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from remanente.operators import accounting
+from remanente.config import RunConfig
+from remanente.operators import accounting, lookups, prep, reconcile
 from remanente.plans import close
 from remanente.queries.accrual_queries import CLOSE_INPUTS
 from remanente.queries.inputs import CFG, Inputs
 from remanente.queries.prepare import raw_receipts
+from remanente.queries.registry import total
 from remanente.session import shared_folder
 from remanente.sources import sinks, tables
+from remanente.sources.schemas import SCHEMAS
 
 SF = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
@@ -82,3 +87,91 @@ def test_whole_close_is_written_and_keeps_its_identities(spark):
     assert booked.filter("onerosidad IS NULL").count() == 0
     kinds = {r[0] for r in booked.select("tipo_movimiento").distinct().collect()}
     assert set(accounting.MOVIMIENTOS) - kinds <= {"acreditacion_intereses"}
+
+
+def test_policies_may_be_numbers_or_texts(spark, tmp_path):
+    for kind, values in (("long", [12]), ("string", ["012"]), ("double", [12.0])):
+        folder = tmp_path / kind
+        spark.createDataFrame([(v,) for v in values], f"poliza {kind}").write.parquet(
+            str(folder / "produccion_directo")
+        )
+        read = tables.read_catalogue(spark, str(folder), ["produccion_directo"])
+        policy = read["produccion_directo"].first()["poliza"]
+        assert policy == ("012" if kind == "string" else "12")
+
+
+def test_rule_tables_keep_any_column_and_others_refuse_them(spark, tmp_path):
+    rule = "1 AS orden, '*' AS tipo_insumo, '*' AS tipo_contabilidad, '*' AS ramo_sura, "
+    rule += "'verano' AS campania, 0 AS candidato_devengo_50_50"
+    spark.sql(f"SELECT {rule}").write.parquet(str(tmp_path / "excepciones_50_50"))
+    spark.sql("SELECT DATE'2025-01-01' AS fecha, 0.1D AS tasa, 1 AS otra").write.parquet(
+        str(tmp_path / "inflacion")
+    )
+    rules = tables.read_catalogue(spark, str(tmp_path), ["excepciones_50_50"])["excepciones_50_50"]
+    base = spark.sql("SELECT 'a' AS tipo_insumo, 'b' AS tipo_contabilidad, '040' AS ramo_sura")
+    assert lookups.mark_fifty_fifty(base, rules).first()["candidato_devengo_50_50"] == 1
+    in_summer = base.selectExpr("*", "'verano' AS campania")
+    assert lookups.mark_fifty_fifty(in_summer, rules).first()["candidato_devengo_50_50"] == 0
+    with pytest.raises(ValueError, match="otra"):
+        tables.read_catalogue(spark, str(tmp_path), ["inflacion"])
+
+
+def test_workers_compensation_tables_have_schemas():
+    assert {"costo_contrato_arl", "cuenta_corriente_arl"} <= set(SCHEMAS)
+
+
+@pytest.mark.parametrize("mode", ["documentado", "codigo"])
+def test_contract_base_by_row(spark, mode):
+    cfg = RunConfig(date(2025, 2, 28), modo=mode)
+    df = spark.createDataFrame(
+        [(100.0, 5.0, None), (100.0, 5.0, 70.0)],
+        "valor_costo_contrato double, valor_reinstalamento double, saldo_anterior double",
+    ).selectExpr(
+        "*",
+        "'recibo' AS nivel_detalle",
+        "DATE'2025-01-10' AS fecha_inicio_vigencia_recibo",
+        "DATE'2025-01-15' AS fecha_inicio_vigencia_cobertura",
+    )
+    first = F.col("valor_costo_contrato") + F.col("valor_reinstalamento")
+    amount, start = prep._contract_base(df, None, first, cfg)
+    rows = df.select(amount.alias("base"), start.alias("inicio")).collect()
+    carried = (70.0, date(2025, 2, 1))
+    fresh = (105.0, date(2025, 1, 10)) if mode == "documentado" else (None, date(2025, 2, 1))
+    assert {tuple(r) for r in rows} == {carried, fresh}
+
+
+def test_a_close_without_rows_clears_its_partition_and_reads_back_its_columns(spark, tmp_path):
+    path, day, old = str(tmp_path / "salida"), date(2025, 2, 28), date(2025, 1, 31)
+    sinks.write_close(spark.sql(f"SELECT DATE'{old}' AS fecha_valoracion, 1 AS a"), path, old)
+    now = spark.sql(f"SELECT DATE'{day}' AS fecha_valoracion, 1 AS a, 2 AS b")
+    sinks.write_close(now, path, day)
+    read = sinks.read_close(now, path, day)
+    assert set(read.columns) == {"fecha_valoracion", "a", "b"} and read.first()["b"] == 2
+    sinks.write_close(now.limit(0), path, day)
+    assert sinks.read_close(now, path, day).count() == 0
+    assert sinks.read_close(now, path, old).count() == 1
+
+
+def test_reconciliation_keys_of_different_types(spark):
+    left = spark.sql("SELECT 1 AS k, '7' AS p, DATE'2025-01-01' AS d, 5.0D AS v")
+    for row in (
+        "1L AS k, 7 AS p, DATE'2025-01-01' AS d, 5.0D AS v",
+        "'1' AS k, 7L AS p, '2025-01-01' AS d, 5.0D AS v",
+        "1S AS k, '7' AS p, TIMESTAMP'2025-01-01 00:00:00' AS d, 5.0D AS v",
+    ):
+        columns = ["k", "p", "d", "v"]
+        both = reconcile.null_safe_join(
+            left, spark.sql(f"SELECT {row}"), columns, columns, ["v"], {}
+        )
+        assert [(r["v"], r["v_right"]) for r in both.collect()] == [(5.0, 5.0)]
+    with pytest.raises(TypeError, match="key k"):
+        wrong = spark.sql("SELECT 1.5D AS k, '7' AS p, DATE'2025-01-01' AS d, 5.0D AS v")
+        reconcile.null_safe_join(left, wrong, columns, columns, ["v"], {})
+
+
+def test_sums_are_the_plain_decimal_sums(spark):
+    rows = spark.range(1_000_000).select(((F.col("id") * 7919 % 100_003) / 1e5).alias("x"))
+    plain = sum(Decimal(i * 7919 % 100_003) for i in range(1_000_000)) / 100_000
+    got = rows.agg(*[total("x", d).alias(f"s{d}") for d in (1, 4)]).first()
+    assert abs(Decimal(got["s4"]) - plain) < Decimal("0.0001")
+    assert abs(Decimal(got["s1"]) - plain) <= Decimal("0.051")
