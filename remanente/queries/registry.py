@@ -37,14 +37,17 @@ def bound(build: Build) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def exact(column: str | Column) -> Column:
-    """Ten decimals, on which every engine agrees and rounds half away from zero alike."""
+    """Twelve decimals, on which rounding is half away from zero in every engine."""
     x = F.col(column) if isinstance(column, str) else column
-    return x.cast("decimal(38,10)")
+    return x.cast("decimal(38,12)")
 
 
 def r(column: str | Column, digits: int = 4) -> Column:
-    """Rounded value; of decimals, so that zero has no sign."""
-    return F.round(exact(column), digits).cast("double")
+    """Rounded value, first to three more places: that drops what engines differ in.
+
+    Of decimals, so that zero has no sign.
+    """
+    return F.round(F.round(exact(column), digits + 3), digits).cast("double")
 
 
 def shown(df: DataFrame, plain: Sequence[str], rounded: Sequence[str] = (), digits: int = 4):
@@ -53,8 +56,8 @@ def shown(df: DataFrame, plain: Sequence[str], rounded: Sequence[str] = (), digi
 
 
 def total(column: str | Column, scale: int = 4) -> Column:
-    """Sum of the unrounded amounts in decimals, rounded once, whatever the order of the rows."""
-    return F.round(F.sum(exact(column)), scale).cast("double")
+    """Sum of the unrounded amounts in decimals; only the sum is rounded."""
+    return F.round(F.round(F.sum(exact(column)), scale + 3), scale).cast("double")
 
 
 def n() -> Column:
