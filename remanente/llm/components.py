@@ -1,8 +1,10 @@
 """Groups of linked nodes, found by rounds of large and small stars over the edges.
 
 Each round hangs a node's larger neighbours, then its smaller ones, on the smallest it knows. The
-edges stay as many as before at most, no group is ever gathered in one place, and the rounds grow
-with the logarithm of a group's longest chain. Only DataFrame operations are used.
+edges stay as many as before at most, and the rounds grow with the logarithm of a group's longest
+chain. A counted, bounded number of edges is worked on in one task, where the same operations need no
+shuffle; beyond it they are dealt out by node, and no group is ever gathered in one place. Only
+DataFrame operations are used.
 """
 
 from __future__ import annotations
@@ -15,12 +17,34 @@ from pyspark.sql import functions as F
 from remanente.llm.common import written
 
 
+#: Edges up to which one task works on them all, without shuffles; more are dealt out by node.
+ONE_TASK = 500_000
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(
         edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     )
 
 
+def _stars(now: DataFrame) -> DataFrame:
+    """Edges (a, b), b < a, after a large and a small star at every node."""
+    both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+    large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    large = large.where("a <> b").distinct()
+    least = large.groupBy("a").agg(F.min("b").alias("m"))
+    small = large.join(least, "a").select(
+        F.explode(
+            F.array(
+                F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
+                F.struct(F.col("a"), F.col("m").alias("b")),
+            )
+        ).alias("e")
+    )
+    return small.select("e.a", "e.b").where("a <> b").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node of its group, for every node of an edge (a, b).
 
@@ -33,71 +57,72 @@ def components(edges: DataFrame) -> DataFrame:
     )
     before, state = None, _state(now)
     while state != before and state[0]:
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = (
-            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        )
-        large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(
-            F.explode(
-                F.array(
-                    F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
-                    F.struct(F.col("a"), F.col("m").alias("b")),
-                )
-            ).alias("e")
-        )
-        now = written(small.select("e.a", "e.b").where("a <> b").distinct(), "edges")
+        if state[0] <= ONE_TASK:
+            now = now.coalesce(1)
+        now = written(_stars(_stars(now)), "edges")
         before, state = state, _state(now)
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return stars.union(stars.select(F.col("label").alias("node"), "label").distinct())
 
 
-def bucket_groups(
-    members: DataFrame,
-    fits: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
-    confirmed: Callable[[DataFrame], DataFrame],
-    step: int = 16,
-) -> DataFrame:
-    """node, label: groups of nodes linked by confirmed pairs, for nodes with a link.
+Part = Callable[[str], Column]
+#: Whether two members of a bucket may be linked, and the linked ones among pairs (a, b) of nodes.
+Fits = Callable[[Part, Part], Column]
+Confirmed = Callable[[DataFrame], DataFrame]
 
-    ``members`` has key, node and what ``fits`` reads of two members of one bucket (key); ``fits``
-    must hold for every pair that can be linked. ``confirmed`` keeps the linked ones of pairs (a, b).
 
-    All of a bucket are compared with its smallest node first. Then those that are still in other
-    groups are compared with one in ``spread`` of their bucket, ``spread`` falling by ``step`` in each
-    round down to 1: at the end every fitting pair of a bucket has been compared or is in one group.
-    So a bucket of many linked nodes costs few comparisons, and no pair is lost.
-    """
-    extra = [c for c in members.columns if c not in ("key", "node")]
+def _pairs(left: DataFrame, right: DataFrame, fits: Fits, also: Column | None = None) -> DataFrame:
+    names = [F.col(c).alias(f"{c}_b") for c in right.columns if c != "key"]
+    near = fits(F.col, lambda c: F.col(f"{c}_b")) & (F.col("node") != F.col("node_b"))
+    near = near if also is None else near & also
+    found = left.join(right.select("key", *names), "key").where(near)
+    return found.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+
 
-    def pairs(left: DataFrame, right: DataFrame, also: Column | None = None) -> DataFrame:
-        renamed = right.select("key", *[F.col(c).alias(f"{c}_b") for c in right.columns if c != "key"])
-        near = fits(F.col, lambda c: F.col(f"{c}_b")) & (F.col("node") != F.col("node_b"))
-        near = near if also is None else near & also
-        found = left.join(renamed, "key").where(near)
-        return found.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+def star_links(members: DataFrame, fits: Fits, confirmed: Confirmed) -> DataFrame:
+    """Confirmed pairs (a, b) of each member with the smallest node of its bucket.
 
+    ``members`` has key, node and what ``fits`` reads; ``fits`` must hold for every pair that can be
+    linked.
+    """
     least = members.groupBy("key").agg(F.min("node").alias("node"))
-    found = written(confirmed(pairs(members, members.join(least, ["key", "node"]))), "links")
-    left, spread = members, None
+    firsts = members.join(least, ["key", "node"])
+    return written(confirmed(_pairs(members, firsts, fits)), "links")
+
+
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that hold several groups, with their label and the bucket's size."""
+    left = members.join(labels, "node", "left")
+    left = left.withColumn("label", F.coalesce("label", "node"))
+    mixed = left.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
+    )
+    return written(left.join(mixed.where("low < high").select("key", "size"), "key"), "buckets")
+
+
+def bucket_groups(
+    members: DataFrame, links: DataFrame, fits: Fits, confirmed: Confirmed, step: int = 16
+) -> DataFrame:
+    """node, label: groups of nodes by ``links`` and all further links within buckets.
+
+    Members still in other groups are compared with one in ``spread`` of their bucket, ``spread``
+    falling by ``step`` in each round down to 1: at the end every fitting pair of a bucket has been
+    compared or is in one group. So a bucket of many linked nodes costs few comparisons, and no pair
+    is lost.
+    """
+    columns, left, spread = members.columns, members, None
     while True:
-        labels = components(found)
-        left = left.select("key", "node", *extra).join(labels, "node", "left")
-        left = left.withColumn("label", F.coalesce("label", "node"))
-        open_ = left.groupBy("key").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
-        )
-        open_ = open_.where("low < high").select("key", "size")
-        left = written(left.join(open_, "key"), "buckets")
+        labels = components(links)
+        left = open_members(left.select(*columns), labels)
         most = left.agg(F.max("size")).first()[0]
-        left = left.drop("size")
         if most is None or spread == 1:
             return labels
+        left = left.drop("size")
         spread = max(1, (most if spread is None else min(spread, most)) // step)
         chosen = left.where(F.pmod(F.xxhash64("node"), F.lit(spread)) == 0)
         apart = F.col("label") != F.col("label_b")
         if spread == 1:
             apart &= F.col("node") > F.col("node_b")
-        found = written(found.union(confirmed(pairs(left, chosen, apart))), "links")
+        more = confirmed(_pairs(left, chosen, fits, apart))
+        groups = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        links = written(groups.union(more), "links")

@@ -8,7 +8,7 @@ full shingle sets.
 
 Equal sets form one class, and only classes are compared. Within a band's bucket all are compared
 with the smallest one first; what that leaves in different groups is compared with more and more
-members, at last with all, so that no link is lost and large groups cost few comparisons.
+members, at last with all, so that no link is lost and groups of linked texts cost few comparisons.
 
 Null or blank text has an empty set: linked with nothing, kept. Rows without doc_id link nothing and
 are kept, with component_id null. Rows that share a doc_id count as one linked document. Only doc_id
@@ -18,7 +18,7 @@ and text are used, so other columns cannot clash. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remanente.llm.common import maybe_in, over_texts, texts, written
-from remanente.llm.components import bucket_groups
+from remanente.llm.components import Part, bucket_groups, star_links
 
 SHINGLE = 5
 #: A pair at similarity 0.75 shares no band with a chance of (1 - 0.75**5) ** 48, or 2 in a million.
@@ -175,11 +175,15 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
         "candidates",
     )
 
-    def sizes_fit(one: Callable[[str], Column], other: Callable[[str], Column]) -> Column:
+    def sizes_fit(one: Part, other: Part) -> Column:
         n, m = one("n_shingles"), other("n_shingles")
         return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
-    return bucket_groups(members, sizes_fit, lambda pairs: similar(pairs, sets, percent))
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return similar(pairs, sets, percent)
+
+    first = star_links(members, sizes_fit, confirmed)
+    return bucket_groups(members, first, sizes_fit, confirmed)
 
 
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
