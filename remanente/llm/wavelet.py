@@ -15,6 +15,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -24,8 +25,9 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from remanente.llm.bpe import MEMORY
+from remanente.llm.bpe import MEMORY, byte_letters
 from remanente.llm.common import over_texts, texts, written
 
 MAGIC = b"WVM1"
@@ -185,40 +187,65 @@ class ChunkEncoder:
     """The library's ids of whole texts, joined from chunks that a worker remembers.
 
     A single blank between two letters that are not white space always starts a new word of a
-    byte-level tokenizer, so texts are cut before such blanks.
+    byte-level tokenizer, so texts are cut before such blanks. A chunk that is a blank, plain letters
+    and at most one mark holds one word, which goes straight to the library's model; any other chunk
+    takes the library's whole way.
     """
 
     beside = re.compile(r"\s | \s")
     cut = re.compile(r"(?<=\S) (?=\S)")
+    plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        letters = byte_letters()
+        self.letters = {c: "".join([letters[b] for b in c.encode()]) for c in map(chr, range(256))}
+        self.blank = self.letters[" "]
+        self.marks = {m: self.whole([m])[0] for m in ",.;:!?"} | {"": b""}
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         odd = self.beside.search(text) or text[:1] == " " or text[-1:] == " "
         return self.cut.split(text) if odd else text.split(" ")
 
-    def learn(self, known: dict[str, bytes], missing: set[str], lead: str) -> None:
-        asked = list(missing)
-        made = self.library.encode_batch_fast([lead + m for m in asked], add_special_tokens=False)
-        known.update((m, np.array(e.ids, "<u4").tobytes()) for m, e in zip(asked, made, strict=True))
+    def whole(self, asked: list[str]) -> list[bytes]:
+        made = self.library.encode_batch_fast(asked, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in made]
+
+    def word(self, letters: str) -> bytes:
+        """Ids of a blank and a word of plain letters."""
+        found = self.words.get(letters)
+        if found is None:
+            shown = letters if letters.isascii() else "".join(map(self.letters.get, letters))
+            made = self.library.model.tokenize(self.blank + shown)
+            found = self.words[letters] = array("I", [t.id for t in made]).tobytes()
+        return found
+
+    def learn(self, later: set[str], first: set[str]) -> None:
+        other = []
+        for chunk in later:
+            if m := self.plain.fullmatch(chunk):
+                self.later[chunk] = self.word(m[1]) + self.marks[m[2]]
+            else:
+                other.append(chunk)
+        self.later.update(zip(other, self.whole([" " + c for c in other]), strict=True))
+        asked = list(first)
+        self.first.update(zip(asked, self.whole(asked), strict=True))
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
-        found = [self.pieces(t) for t in batch]
-        if len(self.first) > MEMORY:
-            self.first.clear()
-        if len(self.later) > MEMORY:
-            self.later.clear()
-        first, later = self.first, self.later
-        self.learn(first, {p[0] for p in found if p[0] not in first}, "")
-        self.learn(later, {c for p in found for c in p[1:] if c not in later}, " ")
+        for known in (self.first, self.later, self.words):
+            if len(known) > MEMORY:
+                known.clear()
+        found, first, later = [self.pieces(t) for t in batch], self.first, self.later
+        self.learn(
+            {c for p in found for c in p[1:] if c not in later},
+            {p[0] for p in found if p[0] not in first},
+        )
         return [
             np.frombuffer(first[p[0]] + b"".join([later[c] for c in p[1:]]), "<u4") for p in found
         ]
