@@ -17,7 +17,7 @@ from functools import cache
 import numpy as np
 from pyspark.sql import DataFrame
 
-from remanente.llm.bpe import MEMORY, WordBpe, chunks, tokenizer
+from remanente.llm.bpe import BITS, MEMORY, WordBpe, chunks, tokenizer
 from remanente.llm.common import over_texts, texts
 
 
@@ -31,7 +31,7 @@ class PrefixCounts:
         self.longest = max(map(len, [*self.open, *self.closing]))
         self.pairs: dict[int, bool] = {}
         self.own: dict[int, list[int]] = {}
-        self.counts: dict[str, np.ndarray] = {}
+        self.counts: dict[str, int] = {}
         self.chunk_totals: dict[str, int] = {}
 
     def start(self, token: int) -> list[int]:
@@ -47,7 +47,7 @@ class PrefixCounts:
 
     def apart(self, left: int, right: int) -> bool:
         """Whether the tokenizer keeps these two tokens when they meet; left < 0 is a word's start."""
-        key = left * (1 << 20) + right
+        key = left << BITS | right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > 8 * MEMORY:
@@ -57,39 +57,54 @@ class PrefixCounts:
             known = self.pairs[key] = self.bpe.merged(symbols) == both
         return known
 
-    def word(self, word: str) -> np.ndarray:
-        """Tokens of each prefix of a word, by its bytes, from the empty one on."""
-        known = self.counts.get(word)
-        if known is not None:
-            return known
-        letters = "".join([self.bpe.letters[b] for b in word.encode()])
-        n, longest, apart = len(letters), self.longest, self.apart
-        last, count, closed = [-1] + [0] * n, [0] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            first = max(0, i - longest)
-            need = 2
-            for j in range(first, i):
-                piece = letters[j:i]
-                if need & 1 == 0 and (t := self.open.get(piece)) is not None and apart(last[j], t):
-                    last[i], count[i] = t, count[j] + 1
-                    need |= 1
-                if need & 2 and (t := self.closing.get(piece)) is not None and apart(last[j], t):
-                    closed[i] = count[j] + 1
-                    need &= 1
-                if need == 1:
+    def opened(self, letters: str, end: int) -> tuple[list[int], list[int]]:
+        """Last token and count of each prefix shorter than ``end``, with the word going on."""
+        last, count = [-1], [0]
+        token_of, apart, longest = self.open.get, self.apart, self.longest
+        for i in range(1, end):
+            for j in range(i - longest if i > longest else 0, i):
+                t = token_of(letters[j:i])
+                if t is not None and apart(last[j], t):
+                    last.append(t)
+                    count.append(count[j] + 1)
                     break
-        if len(self.counts) > MEMORY:
-            self.counts.clear()
-        known = self.counts[word] = np.array(closed, np.int32)
+        return last, count
+
+    def closed(self, letters: str, i: int, last: list[int], count: list[int]) -> int:
+        """Tokens of the prefix of length ``i`` if the word ends there."""
+        token_of, apart = self.closing.get, self.apart
+        for j in range(max(0, i - self.longest), i):
+            t = token_of(letters[j:i])
+            if t is not None and apart(last[j], t):
+                return count[j] + 1
+        return 0
+
+    def tokens(self, word: str) -> int:
+        """Tokens of a whole word."""
+        known = self.counts.get(word)
+        if known is None:
+            if len(self.counts) > MEMORY:
+                self.counts.clear()
+            letters = "".join([self.bpe.letters[b] for b in word.encode()])
+            n = len(letters)
+            known = 1 if letters in self.closing and self.apart(-1, self.closing[letters]) else 0
+            known = known or self.closed(letters, n, *self.opened(letters, n))
+            self.counts[word] = known
         return known
 
+    def word(self, word: str) -> list[int]:
+        """Tokens of each prefix of a word, by its bytes, from the empty one on."""
+        letters = "".join([self.bpe.letters[b] for b in word.encode()])
+        last, count = self.opened(letters, len(letters))
+        return [0, *(self.closed(letters, i, last, count) for i in range(1, len(letters) + 1))]
+
     def total(self, chunk: str) -> int:
         known = self.chunk_totals.get(chunk)
         if known is None:
             if len(self.chunk_totals) > MEMORY:
                 self.chunk_totals.clear()
             parts = self.bpe.parts(chunk)
-            known = sum(1 if isinstance(p, int) else int(self.word(p)[-1]) for p in parts)
+            known = sum([1 if isinstance(p, int) else self.tokens(p) for p in parts])
             self.chunk_totals[chunk] = known
         return known
 
@@ -108,11 +123,11 @@ class PrefixCounts:
             out += [done] * (m.start() - at)  # letters outside words
             counts = self.word(m.group())
             if m.group()[0] == "'" and m.group()[1:].isalpha():  # a cut leaves two words
-                tail = [1 + int(self.word(m.group()[1:i])[-1]) for i in range(2, len(m.group()))]
-                out += [done + int(c) for c in [counts[1], *tail, counts[-1]]]
+                tail = [1 + self.tokens(m.group()[1:i]) for i in range(2, len(m.group()))]
+                out += [done + c for c in [counts[1], *tail, counts[-1]]]
             else:
-                out += [done + int(c) for c in counts[1:]]
-            done += int(counts[-1])
+                out += [done + c for c in counts[1:]]
+            done += counts[-1]
             at = m.end()
         return out + [done] * (len(chunk) - at)
 
@@ -148,8 +163,11 @@ def count_tokens(df: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     def rows(batch: list[str]) -> dict[str, list]:
         c, n, cuts = counter(path), [], []
         for text in batch:
-            found = chunks(text)
-            totals = [c.total(chunk) for chunk in found]
+            found, known = chunks(text), c.chunk_totals
+            try:
+                totals = [known[chunk] for chunk in found]
+            except KeyError:
+                totals = [c.total(chunk) for chunk in found]
             n.append(sum(totals))
             cuts.append(len(text) if n[-1] <= limit else c.cut(text, found, totals, limit))
         return {
