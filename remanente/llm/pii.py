@@ -41,6 +41,8 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 
 _AT = r"(?:\s?[\[({]\s?at\s?[\])}]\s?|\sat\s)"
+#: Stands in every match of _AT, so a text without it has no spelled-out address.
+_AT_WORD = re.compile(r"(?i)[\s\[({]at[\s\])}]")
 _DOT = r"(?:\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s|\.)"
 _SPELLED = re.compile(
     rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}{_AT}[A-Za-z0-9-]{{1,63}}"
@@ -125,7 +127,7 @@ def checked_spans(text: str) -> list[tuple[int, int, int, bool]]:
 def loose_spans(text: str) -> list[tuple[int, int, int]]:
     """Spans of the looser forms; of one kind, those with more evidence come first."""
     out = []
-    if any(w in text for w in ("dot", "Dot", "DOT", "at]", "at)", "at}", "AT]", "AT)", "AT}")):
+    if _AT_WORD.search(text):
         out += [(0, *m.span()) for m in _SPELLED.finditer(text)]
     if not _DIGIT.search(text):
         return out

@@ -190,6 +190,32 @@ def test_base_spans_of_very_long_runs():
         pii.loose_spans(text)
 
 
+@pytest.mark.parametrize(
+    "address",
+    [
+        "john at example.com",
+        "john [ at ] example.com",
+        "john (At) example.com",
+        "j.doe ( at ) mail.org",
+        "john{aT}mail dOt org",
+        "john\tAT\nmail(doT)org",
+    ],
+)
+def test_spelled_addresses_need_no_other_word(address):
+    for before, after in (("", ""), ("write to ", " now"), ("an anecdote: ", "")):
+        want = (0, len(before), len(before + address))
+        assert want in pii.loose_spans(before + address + after)
+
+
+def test_spelled_addresses_match_the_plain_pattern():
+    draw = random.Random(4)
+    parts = ["a", "At", "at", " at ", "[at]", "( at", " )", "{", "\n", ".", " dot ", "(DOT)", "b.c", "\u00a0"]
+    for _ in range(15_000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(1, 12)))
+        want = [(0, *m.span()) for m in pii._SPELLED.finditer(text)]
+        assert [s for s in pii.loose_spans(text) if s[0] == 0] == want
+
+
 def test_personal_data_keeps_the_base_and_adds_spans(spark):
     draw, found = random.Random(8), []
     sure = ["a.b@mail.example.com", "10.20.30.40", "4539148803436467", "+1 (555) 010-2233"]
