@@ -229,3 +229,11 @@ def test_line_report_takes_nothing_and_repeated_rows(spark):
     }
     empty = hashlib.sha256(b"").hexdigest()
     assert all(r.kept_sha256 == empty for r in got if r.n_lines == r.n_equal)
+
+
+def test_lines_with_letters_that_lengthen_when_lowered(spark):
+    line = "Dün sabah İstanbul'dan gelen tren saat dokuzda buraya vardı ."
+    rows = [(1, line), (2, line.replace("İ", "I"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = cases.as_dict(line_dedup.report(docs))
+    assert (got[1]["n_similar"], got[2]["n_similar"]) == (0, 1)
