@@ -237,3 +237,41 @@ def test_lines_with_letters_that_lengthen_when_lowered(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = cases.as_dict(line_dedup.report(docs))
     assert (got[1]["n_similar"], got[2]["n_similar"]) == (0, 1)
+
+
+def word_distance(a: str, b: str) -> int:
+    return distance(a.split(" "), b.split(" "))
+
+
+def linked(a: str, b: str) -> bool:
+    n, words = min(len(a), len(b)), min(len(a.split(" ")), len(b.split(" ")))
+    letters = 0 if n < 16 else 1 if n < 32 else 2
+    few = 0 if words < 8 else max(1, words // 12)
+    return (
+        abs(len(a) - len(b)) <= letters and distance(a, b) <= letters
+    ) or word_distance(a, b) <= few
+
+
+def test_lines_with_replaced_words(spark):
+    draw, known = random.Random(12), []
+    for k in range(45):
+        words = [f"{draw.choice('abcdefgh')}{draw.randrange(10**6)}" for _ in range(3 + 2 * k)]
+        known.append(" ".join(words))
+        for edits in {1, max(1, len(words) // 12), len(words) // 12 + 1}:
+            new = list(words)
+            for at in draw.sample(range(len(words)), min(edits, len(words))):
+                kind = draw.randrange(4)
+                new[at] = "" if kind == 0 else f"{new[at]} more" if kind == 1 else "otherword"
+            known.append(" ".join(w for w in new if w))
+    known += ["a short line of 1", "a short line of 2", "short 1", "short 2"]
+    known = list(dict.fromkeys(known))
+    union = Union()
+    for k, a in enumerate(known):
+        for j, b in enumerate(known[:k]):
+            if linked(a, b):
+                union.join(k, j)
+    docs = spark.createDataFrame(list(enumerate(known)), "doc_id long, text string")
+    got = cases.as_dict(line_dedup.report(docs))
+    want = {k: int(union.find(k) != k) for k in range(len(known))}
+    assert {k: r["n_similar"] for k, r in got.items()} == want
+    assert sum(want.values()) > 40
