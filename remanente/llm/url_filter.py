@@ -1,11 +1,12 @@
 """URLs judged by rules, and by trust and distrust that spread over the links between hosts.
 
-Hosts with most of their pages under an allowing rule are trusted seeds, those with most under a
-blocking one distrusted seeds. Trust is personalised PageRank along links from the trusted seeds;
-distrust is the same along reversed links from the distrusted ones, so that hosts which link to bad
-hosts are distrusted. Every seed hands out 1, not its share of 1, so the thresholds do not depend on
-the number of seeds. A host is blocked where
-its distrust reaches LIMIT and exceeds its trust; every other host is allowed. A rule that fits a url
+Every host with pages under an allowing rule is a trusted seed, every one with pages under a blocking
+rule a distrusted seed, each by the share of its pages. Trust is personalised PageRank along links
+from the trusted seeds; distrust is the same along reversed links from the distrusted ones, so that
+hosts which link to bad hosts are distrusted. A seed hands out its share of pages, not its part of 1,
+so the thresholds do not depend on the number of seeds. A host is blocked where most of its own pages
+are, or where the distrust that others hand it reaches LIMIT and its distrust exceeds its trust; every
+other host is allowed, so clean pages of a host with some blocked ones are. A rule that fits a url
 overrides that.
 
 A null url, or one without "://", has an empty host and path and no rule; an empty host has no links,
@@ -29,8 +30,9 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-#: Share that a host hands on, rounds of handing on, and least distrust to block.
-DAMPING, ROUNDS, LIMIT = 0.85, 12, 0.05
+#: Share that a host hands on, rounds of handing on, and least distrust from others to block. A seed of
+#: most of a host's pages hands out more than half of 1, so half of the 0.05 for seeds of 1 loses no host.
+DAMPING, ROUNDS, LIMIT = 0.85, 12, 0.025
 #: Rounds after which the shares are written, so that the plan stays short.
 CUT_EVERY = 4
 
@@ -81,7 +83,7 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """kind, host, score after some rounds from seeds (kind, host) over weighted edges.
+    """kind, host, score after some rounds from seeds (kind, host, weight) over weighted edges.
 
     ``edges`` has kind, src, dst and n, the number of links.
     """
@@ -92,7 +94,7 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFram
         ),
         "links",
     )
-    first = seeds.select("kind", "host", F.lit(1 - DAMPING).alias("score"))
+    first = seeds.select("kind", "host", ((1 - DAMPING) * F.col("weight")).alias("score"))
     now = first
     for k in range(1, rounds + 1):
         handed = (
@@ -110,9 +112,8 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFram
     return now
 
 
-def host_scores(pages: DataFrame, rules=RULES, rounds: int = ROUNDS) -> DataFrame:
-    """host, trust, distrust of all hosts that a seed reaches."""
-    links = written(host_links(pages), "links")
+def host_shares(pages: DataFrame, rules=RULES) -> DataFrame:
+    """kind, host, weight: the share of a host's pages under each kind of rule, where there are any."""
     named = pages.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     _, verdict = best_rule(F.col("host"), F.col("path"), rules)
     pages_of = named.where("host <> ''").groupBy("host").agg(
@@ -120,10 +121,29 @@ def host_scores(pages: DataFrame, rules=RULES, rounds: int = ROUNDS) -> DataFram
         F.count(F.when(verdict == "allow", 1)).alias("trust"),
         F.count(F.when(verdict == "block", 1)).alias("distrust"),
     )
-    kind = F.when(2 * F.col("trust") > F.col("n"), "trust").when(
-        2 * F.col("distrust") > F.col("n"), "distrust"
-    )
-    seeds = written(pages_of.select(kind.alias("kind"), "host").where("kind IS NOT NULL"), "seeds")
+    each = [
+        F.struct(F.lit(kind).alias("kind"), (F.col(kind) / F.col("n")).alias("weight"))
+        for kind in ("trust", "distrust")
+    ]
+    found = pages_of.select("host", F.explode(F.array(*each)).alias("x"))
+    return found.select("x.kind", "host", "x.weight").where("weight > 0")
+
+
+def majorities(shares: DataFrame) -> DataFrame:
+    """Seeds of 1 where most of a host's pages are under one kind of rule."""
+    return shares.where("weight > 0.5").withColumn("weight", F.lit(1.0))
+
+
+def host_scores(
+    pages: DataFrame, rules=RULES, rounds: int = ROUNDS, seeds: DataFrame | None = None
+) -> DataFrame:
+    """host, trust, distrust of all hosts that a seed (kind, host, weight) reaches.
+
+    If no seeds are given, they are the majorities.
+    """
+    links = written(host_links(pages), "links")
+    if seeds is None:
+        seeds = written(majorities(host_shares(pages, rules)), "seeds")
     edges = links.select(F.lit("trust").alias("kind"), "src", "dst", "n").union(
         links.select(
             F.lit("distrust").alias("kind"),
@@ -145,9 +165,14 @@ def judge(pages: DataFrame, rules=RULES, limit: float = LIMIT) -> DataFrame:
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     named = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = best_rule(F.col("host"), F.col("path"), rules)
-    scores = written(host_scores(pages, rules), "scores")
-    trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
-    own = F.when((distrust >= limit) & (distrust > trust), "block").otherwise("allow")
+    seeds = written(host_shares(pages, rules), "seeds")
+    own = seeds.where("kind = 'distrust'").select("host", F.col("weight").alias("blocked"))
+    scores = host_scores(pages, rules, seeds=seeds).join(own, "host", "left")
+    scores = written(scores, "scores")
+    trust, distrust, blocked = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust", "blocked"))
+    handed = distrust - (1 - DAMPING) * blocked
+    bad = (blocked > 0.5) | ((handed >= limit) & (distrust > trust))
+    own = F.when(bad, "block").otherwise("allow")
     return named.join(scores, "host", "left").select(
         "page_id",
         "host",

@@ -332,6 +332,19 @@ def test_scores_match_plain_iteration(spark):
         assert abs((row.distrust if row else 0) - distrust.get(h, 0)) < 1e-9
 
 
+def test_hosts_with_few_blocked_pages_hand_on_distrust(spark):
+    rows = [(k, f"http://big.net/{'es' if k < 49 else 'en'}/{k}", "") for k in range(100)]
+    rows += [(200, "http://farm.org/x", link("big.net")), (201, "http://far.org/x", link("farm.org"))]
+    rows += [(202, "http://rest.org/x", link("rest2.org")), (203, "http://some.net/en/", "")]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, PAGES)).collect()}
+    assert {k: r.verdict for k, r in got.items() if k < 100} == {
+        k: "block" if k < 49 else "allow" for k in range(100)
+    }
+    assert [got[k].verdict for k in range(200, 204)] == ["block", "block", "allow", "allow"]
+    assert got[99].distrust == pytest.approx(0.15 * 0.49)
+    assert got[200].distrust == pytest.approx(0.15 * 0.49 * 0.85)
+
+
 def exact_versions(found: list) -> dict:
     def likeness(a: str, b: str) -> float:
         a, b = ({p for p in t.split("\n") if p.strip(" ")} for t in (a, b))
