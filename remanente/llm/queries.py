@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from remanente.llm import (
     bpe,
     decontaminate,
+    filter_audit,
     line_dedup,
     minhash,
     paragraph_sketch,
     pii,
     prefix_counts,
+    secrets,
     toxicity,
+    turn_repair,
     url_filter,
     wavelet,
 )
@@ -88,6 +91,25 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.report(table(spark, folder, "documents"))
 
 
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.report(table(spark, folder, "conversations"))
+
+
+@query("op12_filter_audit")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels")
+    return filter_audit.report(spark, f"{folder}/documents.parquet", labels)
+
+
+STATEMENTS["op12_filter_audit"] = filter_audit.SQL
+
+
+@query("op13_secret_scan")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(table(spark, folder, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     STATEMENTS["pipeline"] = corpus_pipeline.ORACLE_SQL
