@@ -100,11 +100,19 @@ def labelled(masks: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+#: Between the fields of a packed row; the last field, the part, may hold it.
+MARK = "|"
+
+
 def combined(marks: DataFrame) -> DataFrame:
-    """Rows of one text, part and labels in a batch as one: least id, rows with it, rows in all."""
+    """digest and ``row``: rows of one text, part and labels in a batch as one.
+
+    A row is packed into one text (least id, rows with it, rows in all, mask, good, toxic, part), as
+    the stateful step pays for every column of every group.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        names = ["digest", "part", "mask", "good", "toxic"]
+        names = ["digest", "mask", "good", "toxic", "part"]
         for batch in batches:
             found: dict[tuple, list] = {}
             rows = zip(*[batch.column(c).to_pylist() for c in ["doc_id", *names]], strict=True)
@@ -114,16 +122,16 @@ def combined(marks: DataFrame) -> DataFrame:
                     own[:2] = [doc, 0]
                 own[1] += doc == own[0]
                 own[2] += 1
-            if found:
-                columns = zip(*[(*k[:-1], *v) for k, v in found.items()], strict=True)
-                kinds = [pa.binary(), pa.string(), *[pa.int32()] * 3, *[pa.int64()] * 3]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    names=[*names, "doc_id", "n_least", "n"],
-                )
+            digests = [key[0] for key in found]
+            packed = [
+                MARK.join(map(str, ("" if doc is None else doc, n_least, n, *key[1:-1])))
+                for key, (doc, n_least, n) in found.items()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digests, pa.binary()), pa.array(packed, pa.string())], names=["digest", "row"]
+            )
 
-    shape = "digest binary, part string, mask int, good int, toxic int, doc_id long, n_least long, n long"
-    return marks.mapInArrow(run, shape)
+    return marks.mapInArrow(run, "digest binary, row string")
 
 
 Count = tuple[str, int, int]
@@ -169,36 +177,37 @@ def updated(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> It
         held = {(p, g, t): n for p, g, t, n in json.loads(shown)}
     rows: list[tuple] = []
     for frame in frames:
-        mask = int(frame["mask"].iloc[0])
-        ids = [None if pd.isna(d) else int(d) for d in frame["doc_id"].astype(object)]
-        others = [frame[c].tolist() for c in ("part", "good", "toxic", "n_least", "n")]
-        rows += [(p, g, t, d, a, n) for d, p, g, t, a, n in zip(ids, *others, strict=True)]
+        for packed in frame["row"].tolist():
+            doc, n_least, n, mask, good, toxic, part = packed.split(MARK, 6)
+            rows.append((part, int(good), int(toxic), int(doc) if doc else None, int(n_least), int(n)))
     least, held, found = changes(least, held, rows)
     if least is not None:
         state.update((least, json.dumps([[*k, n] for k, n in held.items()])))
     if found:
-        yield pd.DataFrame(
-            [(p, mask + BIT["E"] * e, g, t, n) for (p, g, t, e), n in found.items()],
-            columns=["part", "mask", "good", "toxic", "n"],
-        )
+        made = [
+            MARK.join((str(int(mask) + BIT["E"] * e), str(g), str(t), str(n), p))
+            for (p, g, t, e), n in found.items()
+        ]
+        yield pd.DataFrame({"change": made})
+
+
+def unpacked(changes_: DataFrame) -> DataFrame:
+    """part, mask, good, toxic, n of packed changes."""
+    fields = F.split("change", re.escape(MARK), 5)
+    named = {"mask": "int", "good": "int", "toxic": "int", "n": "long", "part": "string"}
+    return changes_.select(*[fields[k].cast(t).alias(c) for k, (c, t) in enumerate(named.items())])
 
 
 def counted(docs: DataFrame, labels: DataFrame, checkpoint: str, sink: str) -> None:
     """Runs the stream ``docs`` to its end; each micro-batch's counts are written below ``sink``."""
     findable(docs.sparkSession)
-    parts = combined(labelled(masked(docs), labels))
-    # 16 bytes as text: ids of groups reach Python as plain values.
-    texts = parts.withColumn("digest", F.hex("digest"))
+    texts = combined(labelled(masked(docs), labels))
     deltas = texts.groupBy("digest").applyInPandasWithState(
-        updated,
-        "part string, mask int, good int, toxic int, n long",
-        "least long, held string",
-        "append",
-        GroupStateTimeout.NoTimeout,
+        updated, "change string", "least long, held string", "append", GroupStateTimeout.NoTimeout
     )
 
     def store(batch: DataFrame, number: int) -> None:
-        summed = batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
+        summed = unpacked(batch).groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
         summed.write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
     stream = deltas.writeStream.outputMode("append").foreachBatch(store)
