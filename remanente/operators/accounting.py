@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from remanente.config import RunConfig
 from remanente.functions.schema import union_aligned
+from remanente.operators.dictionary import dictionary, key, look_up
 from remanente.operators.fx import is_local_standard
 from remanente.vocabulary import (
     CAMPOS_HOMOLOGADOS,
@@ -86,17 +87,33 @@ def code_table(nomenclature: DataFrame, field: str, prototype: str) -> DataFrame
     )
 
 
+def code_dictionary(nomenclature: DataFrame) -> Column:
+    """Codes of all fields and values as one value. A value with two codes is refused: a join would
+    book its movements twice."""
+    field, value, code = F.col("campo"), F.col("prototipo"), F.col("codigo")
+    unlike = F.raise_error(F.concat(F.lit("two codes for "), field, F.lit(" "), value))
+    one = F.when(F.min(code).eqNullSafe(F.max(code)), F.min(code)).otherwise(unlike)
+    codes = nomenclature.groupBy(field, value).agg(one.alias("codigo"))
+    return dictionary(codes, key(field, value), code, "the nomenclature")
+
+
 def map_codes(movements: DataFrame, nomenclature: DataFrame) -> DataFrame:
-    """Accounting code of every homologated field; a missing reinsurer type reads 'no_aplica'."""
+    """Accounting code of every homologated field; a missing reinsurer type reads 'no_aplica'.
+
+    All codes are look-ups in one dictionary, so there is no join for any field.
+    """
     reinsurer = (
         F.coalesce("tipo_reasegurador", F.lit("no_aplica"))
         if "tipo_reasegurador" in movements.columns
         else F.lit("no_aplica")
     )
-    out = movements.withColumn("tipo_reasegurador", reinsurer)
-    for field, column in CAMPOS_HOMOLOGADOS.items():
-        out = out.join(code_table(nomenclature, field, column), column, "left")
-    return out.withColumn("tipo_reserva", F.lit("PCR_CP"))
+    keys = {
+        f"{field}_codigo": key(F.lit(field), F.col(column))
+        for field, column in CAMPOS_HOMOLOGADOS.items()
+    }
+    named = movements.withColumn("tipo_reasegurador", reinsurer)
+    coded = look_up(named, code_dictionary(nomenclature), keys)
+    return coded.withColumn("tipo_reserva", F.lit("PCR_CP"))
 
 
 def attach_insurance_type(base: DataFrame, insurance_types: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Joins of receipts with parameter and rate tables.
+"""Receipts with their parameters and rates.
 
-No broadcast hints: a parameter table is broadcast only when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` (statically, or at run time through AQE), and is
-shuffled with skew splitting above it.
+Parameters, price indices and closing rates are looked up in dictionaries, whose size is checked.
+The other tables are joined without broadcast hints: such a table is broadcast only when its measured
+size is under ``spark.sql.autoBroadcastJoinThreshold`` (statically, or at run time through AQE), and
+is shuffled with skew splitting above it.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 
 from remanente.config import RunConfig
 from remanente.functions.dates import previous_month
+from remanente.operators.dictionary import dictionary, key, look_up
+from remanente.operators.tariffs import UNRANKED, best_rates, scope_rank
 from remanente.operators.wildcard import best_rule, wildcard_count
 from remanente.vocabulary import WILDCARD
 
@@ -61,13 +64,20 @@ def active_parameters(params: DataFrame) -> DataFrame:
 def attach_accounting_params(base: DataFrame, params: DataFrame) -> DataFrame:
     """One row per accounting standard of the row's input and business kind.
 
-    A base that already names its standard keeps only the combinations the table allows.
+    A base that already names its standard keeps only the combinations the table allows; others
+    keep rows that the table does not know. The parameters of a kind are one entry of a dictionary,
+    so that rows which all have the same kind meet no join on a constant.
     """
-    keys, how = ["tipo_insumo", "tipo_negocio"], "left"
+    keys, each = ["tipo_insumo", "tipo_negocio"], F.explode_outer
     if "tipo_contabilidad" in base.columns:
-        keys, how = [*keys, "tipo_contabilidad"], "inner"
-    fields = dict.fromkeys([*keys, "tipo_contabilidad", *ACCOUNTING_FIELDS])
-    return base.join(params.select(*fields), keys, how)
+        keys, each = [*keys, "tipo_contabilidad"], F.explode
+    fields = [f for f in ("tipo_contabilidad", *ACCOUNTING_FIELDS) if f not in keys]
+    kinds = params.groupBy(*keys).agg(F.collect_list(F.struct(*fields)).alias("_filas"))
+    of_kind = key(*[F.col(k) for k in keys])
+    table = dictionary(kinds, of_kind, F.col("_filas"), "the table of accounting parameters")
+    found = look_up(base, table, {"_parametros": of_kind})
+    rows = found.select(*base.columns, each("_parametros").alias("_parametro"))
+    return rows.select(*base.columns, *[F.col(f"_parametro.{f}") for f in fields])
 
 
 def attach_discounts(
@@ -85,14 +95,6 @@ def attach_discounts(
     return joined.withColumns({r: F.coalesce(r, F.lit(0.0)) for r in rates})
 
 
-def expense_priority() -> Column:
-    """1 = channel and product named, 2 = channel only, 3 = neither; product only has none."""
-    any_channel, any_product = F.col("canal") == WILDCARD, F.col("producto") == WILDCARD
-    return (
-        F.when(~any_channel & ~any_product, 1).when(~any_channel, 2).when(any_product, 3)
-    )
-
-
 def expense_candidates(receipts: DataFrame, expenses: DataFrame) -> DataFrame:
     """Every expense row in force at the policy issue date that fits the receipt."""
     limits = ["compania", "ramo_sura", "canal", "producto", "fecha_inicio", "fecha_fin"]
@@ -101,7 +103,7 @@ def expense_candidates(receipts: DataFrame, expenses: DataFrame) -> DataFrame:
         "tipo_contabilidad",
         "tipo_gasto",
         "porc_gasto",
-        expense_priority().alias("prioridad_match"),
+        scope_rank().alias("prioridad_match"),
     )
     fits = (
         (F.col("compania") == F.col("_g_compania"))
@@ -116,14 +118,24 @@ def expense_candidates(receipts: DataFrame, expenses: DataFrame) -> DataFrame:
 def attach_expenses(receipts: DataFrame, expenses: DataFrame) -> DataFrame:
     """Best expense row per receipt, expense type and standard; more specific rows win.
 
-    The ``row_number() == 1`` filter is applied inside every map task before the shuffle as
-    well, so a receipt key shared by many rows never meets in one task as a whole. A hash of
-    the ten text keys leads them, so that both sorts compare one number for most rows.
+    Each receipt row brings its own best rates, one per type and standard. Rows that share a receipt
+    key then compete: the ``row_number() == 1`` filter is applied inside every map task before the
+    shuffle as well, so a key shared by many rows never meets in one task as a whole. A hash of the
+    ten text keys leads them, so that both sorts compare one number for most rows.
     """
     keys = [*EXPENSE_RECEIPT_KEYS, "tipo_gasto", "tipo_contabilidad"]
-    candidates = expense_candidates(receipts, expenses).withColumn(
-        "_g_huella", F.xxhash64(*[F.col(k) for k in keys])
+    own = [c for c in receipts.columns if c != "tipo_contabilidad"]
+    rated = best_rates(receipts, expenses, "_g_tarifas").select(
+        *own, F.explode("_g_tarifas").alias("_g_tarifa")
     )
+    rows = rated.select(
+        *own,
+        "_g_tarifa.tipo_contabilidad",
+        "_g_tarifa.tipo_gasto",
+        "_g_tarifa.porc_gasto",
+        F.nullif(F.col("_g_tarifa.rango"), F.lit(UNRANKED)).alias("prioridad_match"),
+        F.col("_g_tarifa.desde").alias("_g_desde"),
+    ).withColumn("_g_huella", F.xxhash64(*[F.col(k) for k in keys]))
     ties = [
         c
         for c in (
@@ -137,14 +149,10 @@ def attach_expenses(receipts: DataFrame, expenses: DataFrame) -> DataFrame:
         if c in receipts.columns
     ]
     best_first = Window.partitionBy("_g_huella", *keys).orderBy(
-        F.col("prioridad_match").asc_nulls_last(),
-        F.col("_g_fecha_inicio").desc(),
-        "porc_gasto",
-        *ties,
+        F.col("prioridad_match").asc_nulls_last(), "_g_desde", "porc_gasto", *ties
     )
-    ranked = candidates.withColumn("_puesto", F.row_number().over(best_first))
-    own = [c for c in candidates.columns if c.startswith("_g_")]
-    return ranked.filter(F.col("_puesto") == 1).drop("_puesto", *own)
+    ranked = rows.withColumn("_puesto", F.row_number().over(best_first))
+    return ranked.filter(F.col("_puesto") == 1).drop("_puesto", "_g_huella", "_g_desde")
 
 
 def expense_match_sizes(receipts: DataFrame, expenses: DataFrame) -> DataFrame:
@@ -185,9 +193,8 @@ def attach_fx_rates(base: DataFrame, rates: DataFrame, cfg: RunConfig) -> DataFr
     """Rates at the valuation date, the previous close, the day after each, and recognition.
 
     Local standards read the day after a close, the corporate standard the close itself. Those four
-    dates are fixed in a run: their rates stand side by side in one row per currency. That table
-    has as many rows as there are currencies, however large the base, and so it is broadcast; rows
-    are not dealt out by currency, of which one is most common.
+    dates are fixed in a run: their rates stand side by side in a dictionary by currency, so rows are
+    not dealt out by currency, of which one is most common.
     """
     one = timedelta(days=1)
     closes = {
@@ -198,9 +205,9 @@ def attach_fx_rates(base: DataFrame, rates: DataFrame, cfg: RunConfig) -> DataFr
     }
     recognised = "tasa_cambio_fecha_constitucion"
     rate = F.col("tasa_cambio").cast("double")
-    pivoted = (
+    at_close = (
         rates.filter(F.col("fecha").isin(*closes.values()))
-        .groupBy(F.col("moneda_origen").alias("_moneda_tc"))
+        .groupBy("moneda_origen")
         .agg(*[F.max(F.when(F.col("fecha") == d, rate)).alias(n) for n, d in closes.items()])
     )
     by_day = rates.select(
@@ -211,8 +218,12 @@ def attach_fx_rates(base: DataFrame, rates: DataFrame, cfg: RunConfig) -> DataFr
     same_day = (F.col("fecha_constitucion") == F.col("_fecha_tc")) & (
         F.col("moneda") == F.col("_moneda_dia")
     )
-    out = base.join(F.broadcast(pivoted), F.col("moneda") == F.col("_moneda_tc"), "left")
-    out = out.join(by_day, same_day, "left").drop("_moneda_tc", "_moneda_dia", "_fecha_tc")
+    table = dictionary(
+        at_close, key(F.col("moneda_origen")), F.struct(*closes), "the rates of a close"
+    )
+    out = look_up(base, table, {"_cierre": key(F.col("moneda"))})
+    out = out.withColumns({n: F.col(f"_cierre.{n}") for n in closes}).drop("_cierre")
+    out = out.join(by_day, same_day, "left").drop("_moneda_dia", "_fecha_tc")
     return out.withColumns({n: F.coalesce(n, F.lit(1.0)) for n in [*closes, recognised]})
 
 
@@ -242,28 +253,27 @@ def attach_locked_in_factors(
 ) -> DataFrame:
     """Price indices and locked-in interest factors of a row's curve.
 
-    The curve is the one of the month before the term starts. Valuation and previous month are
-    fixed for a run, so the curve table is first reduced to one row per curve holding its first
-    node and those two months; rows then need that join and one more for their final month.
+    Indices come from one dictionary of months. The curve is the one of the month before the term
+    starts. Valuation and previous month are fixed for a run, so the curve table is first reduced to
+    one row per curve holding its first node and those two months; rows then need that join and one
+    more for their final month.
     """
-    out = base
     indexed = F.col("aplica_ipc_mensual") == 1
-    for month, suffix in (
-        ("mes_inicio_vigencia", "ini"),
-        ("mes_valoracion", "actual"),
-        ("mes_valoracion_anterior", "anterior"),
-    ):
-        lookup = ipc.select(
-            F.col("mesid_ipc").alias("_mes_ipc"),
-            F.col("indice_ipc").alias("_indice"),
-            F.col("tasa").alias("_tasa"),
-        )
-        out = (
-            out.join(lookup, F.col(month) == F.col("_mes_ipc"), "left")
-            .withColumn(f"indice_ipc_{suffix}", F.when(indexed, F.col("_indice")).otherwise(1.0))
-            .withColumn(f"tasa_ipc_{suffix}", F.when(indexed, F.col("_tasa")).otherwise(0.0))
-            .drop("_mes_ipc", "_indice", "_tasa")
-        )
+    months = {
+        "ini": "mes_inicio_vigencia",
+        "actual": "mes_valoracion",
+        "anterior": "mes_valoracion_anterior",
+    }
+    index = dictionary(
+        ipc, key(F.col("mesid_ipc")), F.struct("indice_ipc", "tasa"), "the price index"
+    )
+    out = look_up(base, index, {f"_ipc_{s}": key(F.col(m)) for s, m in months.items()})
+    values = {}
+    for suffix in months:
+        known = F.col(f"_ipc_{suffix}")
+        values[f"indice_ipc_{suffix}"] = F.when(indexed, known["indice_ipc"]).otherwise(1.0)
+        values[f"tasa_ipc_{suffix}"] = F.when(indexed, known["tasa"]).otherwise(0.0)
+    out = out.withColumns(values).drop(*[f"_ipc_{s}" for s in months])
 
     curve = ["moneda_curva", "pais_curva", "mesid_curva"]
     keyed = out.withColumn("_mes_curva", previous_month("mes_inicio_vigencia"))
@@ -276,13 +286,13 @@ def attach_locked_in_factors(
         at(start, "sum_desc_real", "desc_lir_nodo_ini"),
         at(start, "factor_acumulacion", "fact_acum_ini"),
     ]
-    months = {"val": cfg.mes_valoracion, "ant": cfg.mes_anterior}
+    closes = {"val": cfg.mes_valoracion, "ant": cfg.mes_anterior}
     monthly = {
         "fact_acum": "factor_acumulacion",
         "sum_desc_lir": "sum_desc_real",
         "tasa_fwd_real": "tasa_fwd_real",
     }
-    for suffix, month in months.items():
+    for suffix, month in closes.items():
         head += [at(final == month, v, f"{n}_{suffix}") for n, v in monthly.items()]
 
     def renamed(df: DataFrame) -> DataFrame:

@@ -1,31 +1,36 @@
 """Best rule per row from a table whose key columns may hold ``'*'`` for any value.
 
-The rules are split by which of their columns are wildcards. Within one such shape a rule
-matches by plain equality, so each shape is an ordinary hash join: no row id, no nested-loop
-join, no fan-out, and the join strategy follows the real size of the rule table.
+A rule's shape says which of its key columns are wildcards. Within one shape a rule matches by
+equality, so all rules of all shapes fit one dictionary keyed by shape and values, and the shapes
+that occur are the bits of one number. Both reach the rows as scalar subqueries: a row looks up one
+key per shape that occurs. There is no join, no row id, no fan-out, and nothing is read while the
+plan is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from remanente.operators.dictionary import dictionary, key, look_up
 from remanente.vocabulary import WILDCARD
 
-
-def _shape(columns: Sequence[str]) -> Column:
-    """One character per column: ``*`` for a wildcard, ``=`` for a value to match."""
-    marks = [F.when(F.col(c) == WILDCARD, "*").otherwise("=") for c in columns]
-    return F.concat(F.lit(""), *marks)
+#: A shape is a bit of one long number, so at most 2 ** 6 shapes.
+MOST_WILD = 6
 
 
 def wildcard_count(columns: Sequence[str]) -> Column:
     return sum((F.when(F.col(c) == WILDCARD, 1).otherwise(0) for c in columns), F.lit(0))
 
 
+def _shape(columns: Sequence[str]) -> Column:
+    """Number whose bit i says that column i holds a value to match."""
+    bits = (F.when(F.col(c) != WILDCARD, 1 << i).otherwise(0) for i, c in enumerate(columns))
+    return sum(bits, F.lit(0))
+
+
 def best_rule(
     base: DataFrame,
     rules: DataFrame,
@@ -37,32 +42,32 @@ def best_rule(
 ) -> DataFrame:
     """Add struct column ``into``: the lowest (or highest) ``choice`` among the matching rules.
 
-    ``choice`` is a struct over the rule columns; its first fields rank the rules. The only
-    action is reading the distinct wildcard shapes, at most ``2 ** len(wild)`` short strings.
+    ``choice`` is a struct over the rule columns; its first fields rank the rules. Null matches
+    nothing but a wildcard.
     """
+    if len(wild) > MOST_WILD:
+        raise ValueError(f"at most {MOST_WILD} columns may hold wildcards, not {len(wild)}")
+    pick, extreme = (F.max, F.greatest) if highest else (F.min, F.least)
     shaped = rules.withColumn("_forma", _shape(wild))
-    shapes = sorted(r[0] for r in shaped.select("_forma").distinct().collect())
-    pick = F.max if highest else F.min
-    found: list[Column] = []
-    out = base
-    for i, shape in enumerate(shapes):
-        name = f"_regla_{i}"
-        keys = list(exact) + [c for c, mark in zip(wild, shape) if mark == "="]
-        ours = shaped.filter(F.col("_forma") == shape)
-        if not keys:
-            found.append(ours.agg(pick(choice)).scalar())
-            continue
-        per_key = ours.groupBy(*[F.col(k).cast("string").alias(f"_k_{k}") for k in keys]).agg(
-            pick(choice).alias(name)
-        )
-        same = reduce(
-            Column.__and__, [F.col(k).cast("string") == F.col(f"_k_{k}") for k in keys]
+    values = [F.when(F.col(c) == WILDCARD, WILDCARD).otherwise(F.col(c).cast("string")) for c in wild]
+    per_key = (
+        shaped.select(
+            "_forma", key(F.col("_forma"), *[F.col(c) for c in exact], *values).alias("_k"), choice.alias("_v")
         )
-        out = out.join(per_key, same, "left").drop(*[f"_k_{k}" for k in keys])
-        found.append(F.col(name))
-    if not found:
-        schema = rules.limit(0).select(choice.alias(into)).schema[into].dataType
-        return out.withColumn(into, F.lit(None).cast(schema))
-    extreme = F.greatest if highest else F.least
-    best = found[0] if len(found) == 1 else extreme(*found)
-    return out.withColumn(into, best).drop(*[f"_regla_{i}" for i in range(len(shapes))])
+        .filter(F.col("_k").isNotNull())
+        .groupBy("_forma", "_k")
+        .agg(pick("_v").alias("_v"))
+    )
+    occurring = per_key.agg(F.expr("bit_or(shiftleft(1L, _forma))")).scalar()
+    buckets = dictionary(per_key, F.col("_k"), F.col("_v"), "a rule table")
+    ready = base.withColumn("_formas", F.coalesce(occurring, F.lit(0).cast("long")))
+    keys = {}
+    for shape in range(1 << len(wild)):
+        parts = [F.col(c) if shape >> i & 1 else F.lit(WILDCARD) for i, c in enumerate(wild)]
+        occurs = F.getbit(F.col("_formas"), F.lit(shape)) == 1
+        keys[f"_regla_{shape}"] = F.when(occurs, key(F.lit(shape), *[F.col(c) for c in exact], *parts))
+    found = look_up(ready, buckets, keys)
+    best = F.col("_regla_0") if len(keys) == 1 else extreme(*[F.col(c) for c in keys])
+    # As the row of a generator, so that a later filter on the rule's values is not rewritten into
+    # the look-ups of all shapes, whose implied conditions take the optimizer for ever to list.
+    return found.select(*base.columns, F.explode(F.array(best)).alias(into))

@@ -64,7 +64,10 @@ def _accounting_parameters() -> Iterable[tuple]:
 
 
 def _expenses() -> Iterable[tuple]:
-    """Named channel and product, channel only, neither, and the unranked product only."""
+    """Named channel and product, channel only, neither, and the unranked product only.
+
+    Some ranges overlap: a later start wins while it lasts, and of equal starts the lower rate.
+    """
     scopes = [("AUTOMOBILE", "Brand#1"), ("AUTOMOBILE", "*"), ("*", "*"), ("*", "Brand#2")]
     kinds = [
         "expedicion_comisiones",
@@ -76,7 +79,14 @@ def _expenses() -> Iterable[tuple]:
         COMPANIES, LINES, enumerate(scopes), enumerate(kinds), enumerate(ESTANDARES)
     ):
         rate = ((4 * p + i + j) % 9 + 1) / 10
-        yield company, line, *scope, kind, rate, standard
+        yield company, line, *scope, kind, rate, standard, "1995-01-01", "2002-12-31"
+        if scope == ("*", "*"):
+            yield company, line, *scope, kind, rate / 2, standard, "1996-03-15", "1997-02-28"
+            yield company, line, *scope, kind, rate / 4, standard, "1996-12-01", "1997-01-31"
+        elif scope == ("AUTOMOBILE", "*") and i % 2:
+            yield company, line, *scope, kind, rate / 5, standard, "1997-06-01", "1997-06-30"
+            yield company, line, *scope, kind, rate / 8, standard, "1997-06-01", "1998-12-31"
+            yield company, line, *scope, kind, rate / 8, standard, "1997-06-01", "1997-12-31"
 
 
 def _bt_rows() -> Iterable[tuple]:
@@ -168,7 +178,7 @@ LITERALS = {
     "gasto": values_table(
         "compania STRING, ramo_sura STRING, canal STRING, producto STRING, tipo_gasto STRING, "
         "porc_gasto DOUBLE, tipo_contabilidad STRING, fecha_inicio DATE, fecha_fin DATE",
-        [(*row, "1995-01-01", "2002-12-31") for row in _expenses()],
+        _expenses(),
     ),
     "componente_financiacion": values_table(
         "tipo_contabilidad STRING, moneda STRING, tipo_insumo STRING, compania STRING, "
