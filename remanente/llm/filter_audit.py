@@ -29,6 +29,7 @@ import json
 import re
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from typing import Any
 
 import pandas as pd
@@ -173,8 +174,8 @@ def updated(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> It
     """Changes of the part counters for one text, whose state is updated."""
     least, held, mask = None, {}, 0
     if state.exists:
-        least, shown = state.get
-        held = {(p, g, t): n for p, g, t, n in json.loads(shown)}
+        least, *shown = json.loads(state.get[0])
+        held = {(p, g, t): n for p, g, t, n in shown}
     rows: list[tuple] = []
     for frame in frames:
         for packed in frame["row"].tolist():
@@ -182,13 +183,20 @@ def updated(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> It
             rows.append((part, int(good), int(toxic), int(doc) if doc else None, int(n_least), int(n)))
     least, held, found = changes(least, held, rows)
     if least is not None:
-        state.update((least, json.dumps([[*k, n] for k, n in held.items()])))
+        state.update((json.dumps([least, *[[*k, n] for k, n in held.items()]]),))
     if found:
-        made = [
-            MARK.join((str(int(mask) + BIT["E"] * e), str(g), str(t), str(n), p))
-            for (p, g, t, e), n in found.items()
-        ]
-        yield pd.DataFrame({"change": made})
+        yield changed(
+            tuple(
+                MARK.join((str(int(mask) + BIT["E"] * e), str(g), str(t), str(n), p))
+                for (p, g, t, e), n in found.items()
+            )
+        )
+
+
+@lru_cache(1 << 14)
+def changed(rows: tuple[str, ...]) -> pd.DataFrame:
+    """A frame of packed changes. Most texts make one of few, and frames cost more than the rest."""
+    return pd.DataFrame({"change": rows})
 
 
 def unpacked(changes_: DataFrame) -> DataFrame:
@@ -203,7 +211,7 @@ def counted(docs: DataFrame, labels: DataFrame, checkpoint: str, sink: str) -> N
     findable(docs.sparkSession)
     texts = combined(labelled(masked(docs), labels))
     deltas = texts.groupBy("digest").applyInPandasWithState(
-        updated, "change string", "least long, held string", "append", GroupStateTimeout.NoTimeout
+        updated, "change string", "held string", "append", GroupStateTimeout.NoTimeout
     )
 
     def store(batch: DataFrame, number: int) -> None:
