@@ -324,25 +324,55 @@ def src_discount_scan(t: Inputs) -> DataFrame:
     return tables.discounts_from_raw(raw_receipts(t))
 
 
+# Whole days, days with a half, and receipts kept as numbers: three files that no one schema reads.
+_ENGINE_FILES = {
+    "entera": (
+        "linea <= 2",
+        ["poliza", "recibo", "CAST(linea AS INT) AS dias_devengados", "ramo_sura"],
+    ),
+    "media": (
+        "linea IN (3, 4)",
+        ["poliza", "recibo", "CAST(linea AS DOUBLE) + CAST(0.5 AS DOUBLE) AS dias_devengados",
+         "ramo_sura", "CAST(proveedor AS INT) AS lote"],
+    ),
+    "numero": (
+        "linea > 4",
+        ["poliza", "CAST(recibo AS BIGINT) AS recibo", "CAST(linea AS BIGINT) AS dias_devengados",
+         "ramo_sura", "CAST(proveedor AS BIGINT) AS lote", "'n' AS nota"],
+    ),
+}
+_ENGINE_ROWS = """
+SELECT 'P' || CAST(l_suppkey AS {text}) AS poliza, CAST(l_orderkey AS {text}) AS recibo,
+  l_linenumber AS linea, l_suppkey AS proveedor,
+  CASE l_linestatus WHEN 'O' THEN '040' ELSE '083' END AS ramo_sura FROM {source}"""
+s.ALL["motor_filas"] = _ENGINE_ROWS.format(text="VARCHAR", source="lineitem")
+
+
 @query(
     "src_parquet_glob",
     """
-SELECT 'P' || CAST(l_suppkey AS VARCHAR) AS poliza, CAST(l_orderkey AS VARCHAR) AS recibo,
-  CAST(l_linenumber AS DOUBLE) AS dias_devengados, COUNT(*) AS filas
-FROM lineitem
-WHERE 'P' || CAST(l_suppkey AS VARCHAR) IN (SELECT poliza FROM cartera)
-  AND CAST(l_orderkey AS VARCHAR) IN (SELECT recibo FROM cartera)
+SELECT poliza, recibo, CAST(linea AS DOUBLE) + CASE WHEN linea IN (3, 4) THEN CAST(0.5 AS DOUBLE)
+    ELSE CAST(0 AS DOUBLE) END AS dias_devengados, COUNT(*) AS filas,
+  CAST(SUM(CASE WHEN linea > 2 THEN proveedor END) AS BIGINT) AS lotes,
+  CAST(SUM(CASE WHEN linea > 4 THEN 1 ELSE 0 END) AS BIGINT) AS notas
+FROM motor_filas
+WHERE ramo_sura = '040' AND poliza IN (SELECT poliza FROM cartera)
+  AND recibo IN (SELECT recibo FROM cartera)
 GROUP BY 1, 2, 3""",
 )
 def src_parquet_glob(t: Inputs) -> DataFrame:
-    files = t.spark.read.parquet(f"{t.sf}/line*.parquet")
-    engine = files.select(
-        F.concat(F.lit("P"), F.col("l_suppkey").cast("string")).alias("poliza"),
-        F.col("l_orderkey").cast("string").alias("recibo"),
-        F.col("l_linenumber").alias("dias_devengados"),
+    """One line of the other engine's files, written in three schemas, for a batch of receipts."""
+    folder = f"{shared_folder(t.spark)}/motor-{uuid.uuid4().hex}"
+    lines = t.spark.sql(
+        _ENGINE_ROWS.format(text="STRING", source="{lines}"),
+        lines=t.spark.read.parquet(f"{t.sf}/lineitem.parquet"),
+    )
+    for name, (condition, columns) in _ENGINE_FILES.items():
+        lines.filter(condition).selectExpr(*columns).write.parquet(f"{folder}/{name}")
+    rows = tables.read_engine_output(t.spark, f"{folder}/*", t["cartera"], "040")
+    return rows.groupBy("poliza", "recibo", "dias_devengados").agg(
+        n().alias("filas"), F.sum("lote").alias("lotes"), F.count("nota").alias("notas")
     )
-    rows = tables.engine_rows_of_batch(engine, t["cartera"], None)
-    return rows.groupBy("poliza", "recibo", "dias_devengados").agg(n().alias("filas"))
 
 
 @query(
