@@ -68,15 +68,18 @@ def attach_accounting_params(base: DataFrame, params: DataFrame) -> DataFrame:
     keep rows that the table does not know. The parameters of a kind are one entry of a dictionary,
     so that rows which all have the same kind meet no join on a constant.
     """
-    keys, each = ["tipo_insumo", "tipo_negocio"], F.explode_outer
-    if "tipo_contabilidad" in base.columns:
-        keys, each = [*keys, "tipo_contabilidad"], F.explode
+    keys = ["tipo_insumo", "tipo_negocio"]
+    named = "tipo_contabilidad" in base.columns
+    if named:
+        keys = [*keys, "tipo_contabilidad"]
     fields = [f for f in ("tipo_contabilidad", *ACCOUNTING_FIELDS) if f not in keys]
     kinds = params.groupBy(*keys).agg(F.collect_list(F.struct(*fields)).alias("_filas"))
     of_kind = key(*[F.col(k) for k in keys])
     table = dictionary(kinds, of_kind, F.col("_filas"), "the table of accounting parameters")
     found = look_up(base, table, {"_parametros": of_kind})
-    rows = found.select(*base.columns, each("_parametros").alias("_parametro"))
+    rows = found.select(*base.columns, F.explode_outer("_parametros").alias("_parametro"))
+    if named:
+        rows = rows.filter(F.col("_parametro").isNotNull())
     return rows.select(*base.columns, *[F.col(f"_parametro.{f}") for f in fields])
 
 
@@ -125,8 +128,12 @@ def attach_expenses(receipts: DataFrame, expenses: DataFrame) -> DataFrame:
     """
     keys = [*EXPENSE_RECEIPT_KEYS, "tipo_gasto", "tipo_contabilidad"]
     own = [c for c in receipts.columns if c != "tipo_contabilidad"]
-    rated = best_rates(receipts, expenses, "_g_tarifas").select(
-        *own, F.explode("_g_tarifas").alias("_g_tarifa")
+    # The outer form: for the plain one the optimizer adds a filter on the size of the array, which it
+    # moves below and so works the array out a second time.
+    rated = (
+        best_rates(receipts, expenses, "_g_tarifas")
+        .select(*own, F.explode_outer("_g_tarifas").alias("_g_tarifa"))
+        .filter(F.col("_g_tarifa").isNotNull())
     )
     rows = rated.select(
         *own,
