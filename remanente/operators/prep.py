@@ -235,6 +235,36 @@ def _contract_base(
     return first_amount, first_start
 
 
+#: What tells one contract row of an accounting standard from another, as far as a table has it.
+CARRIED_KEYS = [
+    "tipo_insumo",
+    "tipo_negocio",
+    "compania",
+    "ramo_sura",
+    "contrato_reaseguro",
+    "nit_reasegurador",
+    "poliza",
+    "recibo",
+    "tipo_contabilidad",
+]
+
+
+def with_carried_balance(ready: DataFrame, closed: DataFrame) -> DataFrame:
+    """``saldo_anterior`` of each contract row from the accrual output of the close before.
+
+    The balance is that of the same row under the same standard, without the sign that the accrual
+    gave it; rows that the close before does not hold carry none.
+    """
+    keys = [k for k in CARRIED_KEYS if k in ready.columns]
+    balances = closed.groupBy(*[F.col(k).alias(f"_s_{k}") for k in keys]).agg(
+        F.sum("saldo").alias("_saldo")
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
+    joined = ready.drop("saldo_anterior").join(balances, same, "left")
+    carried = F.col("_saldo") * F.col("signo_constitucion")
+    return joined.withColumn("saldo_anterior", carried).drop("_saldo", *[f"_s_{k}" for k in keys])
+
+
 def contract_cost(
     costs: DataFrame,
     tracking: DataFrame,
@@ -242,10 +272,13 @@ def contract_cost(
     exceptions: DataFrame,
     cfg: RunConfig,
     rolled: bool | None = None,
+    closed: DataFrame | None = None,
 ) -> DataFrame:
-    """Non-proportional contract cost, first booked or rolled from the month before."""
+    """Non-proportional contract cost, first booked or rolled from the month before.
+
+    Balances come with the costs, or from ``closed``, the accrual output of the close before.
+    """
     first = F.col("valor_costo_contrato") + F.col("valor_reinstalamento")
-    amount, start = _contract_base(costs, rolled, first, cfg)
     ready = attach_contract_tracking(
         mark_fifty_fifty(
             attach_accounting_params(up_to_valuation(costs, BOOKED, cfg), params), exceptions
@@ -253,6 +286,9 @@ def contract_cost(
         tracking,
         cfg,
     )
+    if closed is not None:
+        ready = with_carried_balance(ready, closed)
+    amount, start = _contract_base(ready, rolled, first, cfg)
     termed = with_accrual_terms(ready, BOOKED, amount, start)
     return termed.withColumn(
         "fecha_inicio_devengo", F.greatest("fecha_inicio_devengo", "fe_reinstalamento")
@@ -266,11 +302,11 @@ def nonproportional_recovery(
     exceptions: DataFrame,
     cfg: RunConfig,
     rolled: bool | None = None,
+    closed: DataFrame | None = None,
 ) -> DataFrame:
     """Onerosity recovered under non-proportional contracts, over the contract's own term."""
     event = "fecha_calculo_recuperacion"
     first = F.col("valor_recuperacion") * F.col("porc_participacion_reasegurador")
-    amount, start = _contract_base(recoveries, rolled, first, cfg)
     termed = with_same_terms(
         up_to_valuation(recoveries, event, cfg),
         "fe_ini_vig_contrato_reaseguro",
@@ -279,6 +315,9 @@ def nonproportional_recovery(
     ready = attach_contract_tracking(
         mark_fifty_fifty(attach_accounting_params(termed, params), exceptions), tracking, cfg
     )
+    if closed is not None:
+        ready = with_carried_balance(ready, closed)
+    amount, start = _contract_base(ready, rolled, first, cfg)
     return with_accrual_terms(ready, event, amount, start)
 
 

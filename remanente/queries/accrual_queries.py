@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remanente.functions.schema import ensure_columns, union_aligned
 from remanente.operators import accounting, accrual, curves, fx, prep
-from remanente.plans import close
+from remanente.plans import chain, close
 from remanente.queries import stages as s
-from remanente.queries.inputs import CFG, CFG_CODED, Inputs
+from remanente.queries.inputs import CFG, CFG_CODED, FV, SQL, Inputs
 from remanente.queries.lookup_queries import (
     ceded_impaired,
     premium_accrued,
@@ -17,6 +21,8 @@ from remanente.queries.lookup_queries import (
 )
 from remanente.queries.prepare import contract_cost, direct_premium, factors, params, with_financing
 from remanente.queries.registry import KEYS, n, query, r, shown, total
+from remanente.session import shared_folder
+from remanente.sources.publication import Staged, read_published
 
 _ROW = [*KEYS, "tipo_contabilidad"]
 _AMOUNTS = ["valor_constitucion", "valor_liberacion", "valor_liberacion_acum", "saldo"]
@@ -298,6 +304,137 @@ def output_contable(t: Inputs) -> DataFrame:
     return grouped(out, _ACC, _ACC_V)
 
 
+@query(
+    "sink_outputs",
+    f"""
+SELECT 'devengo' AS tabla, fecha_valoracion, ramo_sura, regla_devengo AS clase, COUNT(*) AS filas,
+  {s.total("saldo")} AS valor FROM dev_prima GROUP BY 2, 3, 4
+UNION ALL
+SELECT 'contable', fecha_valoracion, ramo_sura, tipo_movimiento, COUNT(*), {s.total("valor_md")}
+FROM cont_prima GROUP BY 2, 3, 4""",
+)
+def sink_outputs(t: Inputs) -> DataFrame:
+    """Both outputs published together and read back; a later run that was lost half-way is not seen."""
+    folder = f"{shared_folder(t.spark)}/salidas-{uuid.uuid4().hex}"
+    staged = Staged(t.spark, folder, FV)
+    accrued = staged.write(close.ACCRUAL, premium_valued(t))
+    output = accounting.accounting_output(
+        accrued, accounting.bt_in_scope(t["relacion_bt"]), t["tipo_seguro"], t["nomenclatura"]
+    )
+    staged.write(close.ACCOUNTING, output)
+    staged.publish()
+    Staged(t.spark, folder, FV).write(close.ACCRUAL, accrued.filter("ramo_sura = '003'"))
+    parts = []
+    for name, kind, amount in (
+        (close.ACCRUAL, "regla_devengo", "saldo"),
+        (close.ACCOUNTING, "tipo_movimiento", "valor_md"),
+    ):
+        table = read_published(t.spark, folder, name, FV)
+        grouped_ = table.groupBy("fecha_valoracion", "ramo_sura", F.col(kind).alias("clase"))
+        parts.append(
+            grouped_.agg(n().alias("filas"), total(amount).alias("valor")).withColumn("tabla", F.lit(name))
+        )
+    return parts[0].unionByName(parts[1])
+
+
+# --- a chain of closes -----------------------------------------------------------------------------------
+
+CHAIN = [date(1998, 3, 31), date(1998, 4, 30), FV]
+_CHAIN = ["tipo_insumo", "contrato_reaseguro", "nit_reasegurador", "tipo_negocio",
+          "tipo_contabilidad", "regla_devengo", "estado_devengo"]
+_CHAIN_KEYS = ["tipo_insumo", "tipo_negocio", "compania", "ramo_sura", "contrato_reaseguro",
+               "nit_reasegurador", "tipo_contabilidad"]
+
+
+def _stages_at(root: str, suffix: str, day: date, given: dict[str, str]) -> None:
+    """Copies a stage and all that it reads, valued at another day; ``given`` replaces some of them."""
+    before = day.replace(day=1)
+    values = {
+        s.FV: f"DATE '{day}'",
+        s.INI: f"DATE '{before}'",
+        s.ANT: f"DATE '{before}' - 1",
+        str(s.MES): f"{day:%Y%m}",
+    }
+
+    def copy(name: str) -> None:
+        if f"{name}{suffix}" in s.ALL:
+            return
+        dates = "|".join(re.escape(x) for x in values)
+        text = re.sub(dates, lambda m: values[m.group()], given.get(name, s.ALL[name]))
+        sources = {x for x in re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", text) if x in s.ALL and x not in SQL}
+        for source in sources:
+            text = re.sub(rf"\b(FROM|JOIN)(\s+){source}\b", rf"\1\2{source}{suffix}", text)
+        s.ALL[f"{name}{suffix}"] = text
+        for source in sources:
+            copy(source)
+
+    copy(root)
+
+
+def _carrying(source: str, keys: list[str], closed: str | None) -> str:
+    """Parameters attached, with the balance of the month before, which no row has in the first."""
+    if closed is None:
+        return f"SELECT *, CAST(NULL AS DOUBLE) AS saldo_anterior FROM ({s.with_params(source)})"
+    same = " AND ".join(f"b.{k} IS NOT DISTINCT FROM c.{k}" for k in keys)
+    return f"""
+SELECT b.*, c.saldo * b.signo_constitucion AS saldo_anterior FROM ({s.with_params(source)}) AS b
+LEFT JOIN (SELECT {', '.join(keys)}, SUM(saldo) AS saldo FROM {closed} GROUP BY ALL) AS c ON {same}"""
+
+
+s.ALL["cadena_insumos"] = "SELECT * FROM costo_roll UNION ALL BY NAME SELECT * FROM recup_np_roll"
+s.accrual_stages(
+    "dev_cadena",
+    "cadena_insumos",
+    limited=True,
+    reinsurance=True,
+    carried="COALESCE(saldo_anterior, valor_base_devengo)",
+)
+s.ALL.update({k: v for k, v in s.STAGES.items() if k.startswith("dev_cadena")})
+for _k, _day in enumerate(CHAIN):
+    _closed = f"dev_cadena_m{_k - 1}" if _k else None
+    _stages_at(
+        "dev_cadena",
+        f"_m{_k}",
+        _day,
+        {
+            "costo_roll_fv": s.ALL["costo_fv"],
+            "recup_np_roll_fv": s.ALL["recup_np_fv"],
+            "costo_roll_param": _carrying("costo_roll_fv", [*_CHAIN_KEYS, "recibo"], _closed),
+            "recup_np_roll_param": _carrying("recup_np_roll_fv", [*_CHAIN_KEYS, "poliza"], _closed),
+        },
+    )
+
+CHAIN_INPUTS = [
+    "param_contabilidad", "excepciones_50_50", "produccion_directo", "costo_contrato_rea",
+    "seguimiento_rea", "recup_onerosidad", "tasa_cambio", "relacion_bt", "tipo_seguro", "nomenclatura",
+]
+
+
+@query(
+    "costo_encadenado",
+    " UNION ALL ".join(
+        f"SELECT DATE '{day}' AS cierre, * FROM ("
+        + _rows(f"dev_cadena_m{k}", _CHAIN, _SIGNED)
+        + ")"
+        for k, day in enumerate(CHAIN)
+    ),
+)
+def costo_encadenado(t: Inputs) -> DataFrame:
+    """Three published closes in a row, each taking contract balances from the one before."""
+    folder = f"{shared_folder(t.spark)}/cadena-{uuid.uuid4().hex}"
+    tables = t.only(*CHAIN_INPUTS)
+    tables["produccion_directo"] = tables["produccion_directo"].filter(F.lit(False))
+    chain.run_chain(t.spark, tables, CFG, CHAIN, folder)
+    closes = [
+        shown(
+            read_published(t.spark, folder, close.ACCRUAL, day).withColumn("cierre", F.lit(day)),
+            ["cierre", *_CHAIN], _SIGNED,
+        )
+        for day in CHAIN
+    ]
+    return closes[0].unionByName(closes[1]).unionByName(closes[2])
+
+
 CLOSE_INPUTS = [
     "param_contabilidad", "excepciones_50_50", "produccion_directo", "componente_financiacion",
     "inflacion", "curvas", "descuento", "gasto", "componente_inversion", "onerosidad",

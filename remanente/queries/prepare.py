@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from remanente.functions.schema import union_aligned
 from remanente.operators import accounting, accrual, curves, lookups, prep
 from remanente.queries import stages as s
-from remanente.queries.inputs import CFG, FV, Inputs
+from remanente.queries.inputs import CFG, Inputs
 from remanente.queries.registry import KEYS, n, query, shown, total
 from remanente.session import shared_folder
-from remanente.sources import sinks, tables
+from remanente.sources import tables
 
 _TERMS = ["fecha_constitucion", "fecha_inicio_vigencia", "fecha_inicio_devengo", "fecha_fin_devengo"]
 _FIELDS = ["tipo_insumo", "tipo_contabilidad", "nivel_detalle", "signo_constitucion"]
@@ -443,22 +443,6 @@ def src_parameters(t: Inputs) -> DataFrame:
     return months.join(receipts, "mesid_ipc", "left").fillna(0, ["recibos"])
 
 
-@query(
-    "sink_outputs",
-    f"""
-SELECT fecha_valoracion, ramo_sura, regla_devengo, COUNT(*) AS filas, {s.total("saldo")} AS saldo
-FROM dev_prima GROUP BY 1, 2, 3""",
-)
-def sink_outputs(t: Inputs) -> DataFrame:
-    """Accrual output written by valuation date and read back."""
-    path = f"{shared_folder(t.spark)}/devengo-{uuid.uuid4().hex}"
-    sinks.write_close(accrual.accrue(direct_premium(t), CFG), path)
-    written = t.spark.read.parquet(path).filter(F.col("fecha_valoracion") == F.lit(FV))
-    return written.groupBy("fecha_valoracion", "ramo_sura", "regla_devengo").agg(
-        n().alias("filas"), total("saldo").alias("saldo")
-    )
-
-
 _SAMPLE = """
 SELECT recibo AS nrecibo, numero_documento_sap AS documento, cdsubgarantia,
   poliza_certificado, fecha_contabilizacion_recibo AS fecont_pdcion,
