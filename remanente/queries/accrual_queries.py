@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from remanente.functions.schema import ensure_columns, union_aligned
 from remanente.operators import accounting, accrual, curves, fx, prep
@@ -23,6 +25,8 @@ from remanente.queries.prepare import contract_cost, direct_premium, factors, pa
 from remanente.queries.registry import KEYS, n, query, r, shown, total
 from remanente.session import shared_folder
 from remanente.sources.publication import Staged, read_published
+from remanente.sources.schemas import OPEN_TABLES, SCHEMAS
+from remanente.sources.tables import read_catalogue
 
 _ROW = [*KEYS, "tipo_contabilidad"]
 _AMOUNTS = ["valor_constitucion", "valor_liberacion", "valor_liberacion_acum", "saldo"]
@@ -440,14 +444,58 @@ CLOSE_INPUTS = [
     "inflacion", "curvas", "descuento", "gasto", "componente_inversion", "onerosidad",
     "cesion_rea", "comision_rea", "costo_contrato_rea", "seguimiento_rea", "recup_onerosidad",
     "tasa_cambio", "riesgo_credito", "cartera", "cuenta_corriente", "relacion_bt", "tipo_seguro",
-    "nomenclatura",
+    "nomenclatura", "camara_soat", "costo_contrato_arl", "cartera_arl", "cuenta_corriente_arl",
 ]
+#: Sample inputs under another name than the table of the close.
+CLOSE_NAMES = {"produccion_arl": "arl_mensual"}
 _CLOSE = [*_ACC, "onerosidad"]
 _CLOSE_V = {"valor_md": 4, "valor_ml": 1}
 
+# The close of all inputs, SOAT and workers' compensation included: the stages of the sample close with
+# those inputs joined to theirs.
+s.ALL["recibos_cierre"] = "SELECT * FROM recibos UNION ALL BY NAME SELECT * FROM arl_mensual"
+s.prepared("prima_soat", "soat_fv", s.BOOKED, "valor_prima_emitida")
+s.ALL["soat_fv"] = f"SELECT * FROM camara_soat WHERE {s.BOOKED} <= {s.FV}"
+s.ALL.update({k: v for k, v in s.STAGES.items() if k.startswith("prima_soat")})
+for _name in ("cartera", "cuenta_corriente"):
+    s.ALL[f"{_name}_cierre"] = f"SELECT * FROM {_name} UNION ALL BY NAME SELECT * FROM {_name}_arl"
+_stages_at(
+    "cont_pcr_marca",
+    "_cierre",
+    FV,
+    {
+        "recibos_fv": f"SELECT * FROM recibos_cierre WHERE {s.BOOKED} <= {s.FV}",
+        "pcr_insumos": s.ALL["pcr_insumos"] + " UNION ALL BY NAME SELECT * FROM prima_soat",
+        "costo_fv": "SELECT * FROM (SELECT * FROM costo_contrato_rea UNION ALL BY NAME "
+        f"SELECT * FROM costo_contrato_arl) WHERE {s.BOOKED} <= {s.FV}",
+        "cartera_param": s.with_params("cartera_cierre"),
+        "cuenta_corriente_param": s.with_params("cuenta_corriente_cierre"),
+    },
+)
+
+
+def written_catalogue(t: Inputs, names: list[str], folder: str) -> None:
+    """The sample inputs as tables of a catalogue, with the columns that their schemas declare."""
+
+    def write(name: str) -> None:
+        table = t[CLOSE_NAMES.get(name, name)]
+        declared = T._parse_datatype_string(SCHEMAS[name]).names
+        others = [c for c in table.columns if c not in declared] if name in OPEN_TABLES else []
+        kept = [c for c in declared if c in table.columns]
+        table.select(*kept, *others).write.parquet(f"{folder}/{name}")
+
+    for name in names:  # built one after another, as they share parts
+        t[CLOSE_NAMES.get(name, name)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, names))
+
 
-@query("pcr_batch", _groups(_CLOSE, _CLOSE_V) + " FROM cont_pcr_marca GROUP BY ALL")
+@query("pcr_batch", _groups(_CLOSE, _CLOSE_V) + " FROM cont_pcr_marca_cierre GROUP BY ALL")
 def pcr_batch(t: Inputs) -> DataFrame:
-    tables = t.only(*CLOSE_INPUTS)
-    out = close.accounting_close(close.accrual_output(tables, CFG), tables, CFG)
-    return grouped(out, _CLOSE, _CLOSE_V)
+    """The whole way of a close: tables read from a catalogue, both outputs published and read back."""
+    folder = f"{shared_folder(t.spark)}/cierre-{uuid.uuid4().hex}"
+    names = [*CLOSE_INPUTS, *CLOSE_NAMES]
+    written_catalogue(t, names, f"{folder}/insumos")
+    tables = read_catalogue(t.spark, f"{folder}/insumos", names)
+    close.run_close(t.spark, tables, CFG, folder)
+    return grouped(read_published(t.spark, folder, close.ACCOUNTING, FV), _CLOSE, _CLOSE_V)

@@ -664,6 +664,112 @@ SELECT {', '.join(c for c in RECEIPT if 'vigencia' not in c and c != 'fecha_expe
   valor_prima_emitida, fecha_contabilizacion_recibo AS mes_cotizacion FROM base"""
 
 
+def _order_receipts(spark: SparkSession, sf: str, kind: str, line: str, prefix: str) -> DataFrame:
+    """One receipt per order of another system, with policies and receipts of its own."""
+    n, day = F.col("o_custkey"), F.col("o_orderdate").cast("date")
+    own = {
+        "tipo_insumo": F.lit(kind),
+        "tipo_negocio": F.lit("directo"),
+        "compania": F.when(n % 2 == 0, "01").otherwise("02"),
+        "ramo_sura": F.lit(line),
+        "canal": F.lit(prefix),
+        "producto": F.lit("Brand#2"),
+        "tipo_op": F.lit("23"),
+        "poliza": F.concat(F.lit(prefix), n.cast("string")),
+        "poliza_certificado": F.lit("1"),
+        "recibo": F.concat(F.lit(prefix), _text("o_orderkey")),
+        "amparo": F.lit("O"),
+        "cdsubgarantia": F.lit("1"),
+        "numero_documento_sap": _text("o_orderkey"),
+        "moneda": F.lit("COP"),
+        "fecha_expedicion_poliza": day,
+        "fecha_contabilizacion_recibo": day,
+        "fecha_inicio_vigencia_recibo": day,
+        "fecha_fin_vigencia_recibo": F.date_add(day, 364),
+        "fecha_inicio_vigencia_cobertura": day,
+        "fecha_fin_vigencia_cobertura": F.date_add(day, 364),
+        "valor_prima_emitida": F.col("o_totalprice") / 16,
+    }
+    return _given(spark, sf, "orders").select(*[c.alias(k) for k, c in own.items()])
+
+
+def _order_receipts_sql(kind: str, line: str, prefix: str) -> str:
+    return f"""
+SELECT '{kind}' AS tipo_insumo, 'directo' AS tipo_negocio,
+  CASE WHEN o_custkey % 2 = 0 THEN '01' ELSE '02' END AS compania, '{line}' AS ramo_sura,
+  '{prefix}' AS canal, 'Brand#2' AS producto, '23' AS tipo_op,
+  '{prefix}' || CAST(o_custkey AS VARCHAR) AS poliza, '1' AS poliza_certificado,
+  '{prefix}' || CAST(o_orderkey AS VARCHAR) AS recibo, 'O' AS amparo, '1' AS cdsubgarantia,
+  CAST(o_orderkey AS VARCHAR) AS numero_documento_sap, 'COP' AS moneda,
+  CAST(o_orderdate AS DATE) AS fecha_expedicion_poliza,
+  CAST(o_orderdate AS DATE) AS fecha_contabilizacion_recibo,
+  CAST(o_orderdate AS DATE) AS fecha_inicio_vigencia_recibo,
+  CAST(o_orderdate AS DATE) + 364 AS fecha_fin_vigencia_recibo,
+  CAST(o_orderdate AS DATE) AS fecha_inicio_vigencia_cobertura,
+  CAST(o_orderdate AS DATE) + 364 AS fecha_fin_vigencia_cobertura,
+  o_totalprice / 16 AS valor_prima_emitida
+FROM orders"""
+
+
+def soat_pool(spark: SparkSession, sf: str) -> DataFrame:
+    return _order_receipts(spark, sf, "camara_soat", "041", "S")
+
+
+def monthly_workers_comp(spark: SparkSession, sf: str) -> DataFrame:
+    """Workers' compensation receipts with a contribution month instead of terms."""
+    rows = _order_receipts(spark, sf, "produccion_directo", "095", "A")
+    month = F.col("fecha_contabilizacion_recibo")
+    drop = [c for c in RECEIPT if "vigencia" in c or c == "fecha_expedicion_poliza"]
+    return rows.withColumn("mes_cotizacion", month).drop(*drop)
+
+
+SQL["camara_soat"] = _order_receipts_sql("camara_soat", "041", "S")
+SQL["arl_mensual"] = f"""
+SELECT * REPLACE (
+    CAST(date_trunc('month', fecha_contabilizacion_recibo) AS DATE) AS fecha_expedicion_poliza,
+    CAST(date_trunc('month', fecha_contabilizacion_recibo) AS DATE) AS fecha_inicio_vigencia_recibo,
+    last_day(fecha_contabilizacion_recibo) AS fecha_fin_vigencia_recibo,
+    CAST(date_trunc('month', fecha_contabilizacion_recibo) AS DATE)
+      AS fecha_inicio_vigencia_cobertura,
+    last_day(fecha_contabilizacion_recibo) AS fecha_fin_vigencia_cobertura)
+FROM ({_order_receipts_sql("produccion_directo", "095", "A")})"""
+
+
+def workers_comp_costs(spark: SparkSession, sf: str) -> DataFrame:
+    """Contract costs again under contracts that no tracking table knows."""
+    own = {c: F.concat(F.lit("A"), F.col(c)) for c in ("contrato_reaseguro", "recibo")}
+    return contract_costs(spark, sf).withColumns(own)
+
+
+SQL["costo_contrato_arl"] = """
+SELECT * REPLACE ('A' || contrato_reaseguro AS contrato_reaseguro, 'A' || recibo AS recibo)
+FROM costo_contrato_rea"""
+
+
+def workers_comp_receivables(spark: SparkSession, sf: str) -> DataFrame:
+    rows = receivable_balances(spark, sf).drop("fecha_expedicion_poliza")
+    return rows.withColumns(
+        {
+            "poliza": F.concat(F.lit("A"), F.col("poliza")),
+            "mes_cotizacion": F.col("fecha_corte"),
+            "valor_ml": F.col("valor_ml") / 32,
+        }
+    )
+
+
+def workers_comp_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    own = {"poliza": F.concat(F.lit("A"), F.col("poliza")), "valor_ml": F.col("valor_ml") / 64}
+    return current_accounts(spark, sf).withColumns(own)
+
+
+SQL["cartera_arl"] = """
+SELECT * REPLACE ('A' || poliza AS poliza, valor_ml / 32 AS valor_ml,
+  CAST(date_trunc('month', fecha_corte) AS DATE) AS fecha_expedicion_poliza) FROM cartera"""
+SQL["cuenta_corriente_arl"] = (
+    "SELECT * REPLACE ('A' || poliza AS poliza, valor_ml / 64 AS valor_ml) FROM cuenta_corriente"
+)
+
+
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{name: literal(name) for name in LITERALS},
     "recibos": receipts,
@@ -686,6 +792,11 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "curvas": yield_curves,
     "maestro_asistencias": assistance_master,
     "produccion_arl": workers_comp,
+    "camara_soat": soat_pool,
+    "arl_mensual": monthly_workers_comp,
+    "costo_contrato_arl": workers_comp_costs,
+    "cartera_arl": workers_comp_receivables,
+    "cuenta_corriente_arl": workers_comp_accounts,
 }
 
 

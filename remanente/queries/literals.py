@@ -29,6 +29,7 @@ def _accounting_parameters() -> Iterable[tuple]:
     """Each input once per standard; the local IFRS 4 standard reads receipt terms."""
     direct = [
         ("produccion_directo", "prima", "no_aplica", -1),
+        ("camara_soat", "prima", "no_aplica", -1),
         ("dcto_directo", "descuento", "no_aplica", 1),
         ("gasto_comi_directo", "gasto", "comisiones", 1),
         ("gasto_otro_directo", "gasto", "otros", 1),
