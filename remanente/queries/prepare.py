@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from remanente.functions.schema import union_aligned
 from remanente.operators import accounting, accrual, curves, lookups, prep
@@ -14,6 +17,7 @@ from remanente.queries.inputs import CFG, Inputs
 from remanente.queries.registry import KEYS, n, query, shown, total
 from remanente.session import shared_folder
 from remanente.sources import tables
+from remanente.sources.schemas import SCHEMAS
 
 _TERMS = ["fecha_constitucion", "fecha_inicio_vigencia", "fecha_inicio_devengo", "fecha_fin_devengo"]
 _FIELDS = ["tipo_insumo", "tipo_contabilidad", "nivel_detalle", "signo_constitucion"]
@@ -419,28 +423,67 @@ def src_bt_scope(t: Inputs) -> DataFrame:
     ).agg(n().alias("filas"))
 
 
+# Every declared table, and the sample that fills it.
+_CATALOGUE = {name: {"produccion_directo": "recibos"}.get(name, name) for name in SCHEMAS}
+
+
+#: Of tables whose sample lacks the first column that is not text, the one to break.
+_BROKEN = {"gasto": "fecha_inicio", "produccion_arl": "fecha_contabilizacion_recibo"}
+
+
+def _first_typed(name: str) -> str | None:
+    """The first column of a table that is not text."""
+    if name in _BROKEN:
+        return _BROKEN[name]
+    declared = T._parse_datatype_string(SCHEMAS[name])
+    return next((f.name for f in declared if not isinstance(f.dataType, T.StringType)), None)
+
+
 @query(
     "src_parameters",
-    """
-SELECT i.mesid_ipc, i.tasa, COUNT(b.recibo) AS recibos FROM (
-  SELECT CAST(year(fecha) * 100 + month(fecha) AS INT) AS mesid_ipc, tasa FROM inflacion) AS i
-LEFT JOIN recibos AS b ON i.mesid_ipc = CAST(year(b.fecha_contabilizacion_recibo) * 100
-  + month(b.fecha_contabilizacion_recibo) AS INT)
-GROUP BY 1, 2""",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS tabla, COUNT(*) AS aceptadas, CAST({1 if column else 0} AS BIGINT) AS "
+        f"rechazadas, {f"'{column}: no es'" if column else 'CAST(NULL AS VARCHAR)'} AS motivo "
+        f"FROM {source}"
+        for name, source in _CATALOGUE.items()
+        for column in [_first_typed(name)]
+    ),
 )
 def src_parameters(t: Inputs) -> DataFrame:
-    """The inflation table written and read back through the catalogue, with receipts per month."""
+    """Every table of the catalogue, written as text with one row that does not fit, and read back:
+    rows accepted, rows set aside and why."""
     folder = f"{shared_folder(t.spark)}/catalogo-{uuid.uuid4().hex}"
-    t["inflacion"].write.parquet(f"{folder}/inflacion")
-    read = tables.read_catalogue(t.spark, folder, ["inflacion"])["inflacion"]
-    months = read.select(
-        (F.year("fecha") * 100 + F.month("fecha")).alias("mesid_ipc"), "tasa"
-    )
-    booked = F.col(prep.BOOKED)
-    receipts = t["recibos"].groupBy((F.year(booked) * 100 + F.month(booked)).alias("mesid_ipc")).agg(
-        n().alias("recibos")
+    tables_of = {name: t[source] for name, source in _CATALOGUE.items()}
+
+    def write(name: str) -> None:
+        declared = T._parse_datatype_string(SCHEMAS[name]).names
+        kept = [c for c in declared if c in tables_of[name].columns]
+        texts = tables_of[name].select(*[F.col(c).cast("string").alias(c) for c in kept])
+        column = _first_typed(name)
+        if column:
+            wrong = {c: F.lit("no es" if c == column else None).cast("string").alias(c) for c in kept}
+            texts = texts.unionByName(t.spark.range(1).select(*wrong.values()))
+        texts.write.option("header", "true").csv(f"{folder}/{name}")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, tables_of))
+    counts = []
+    for name in _CATALOGUE:
+        read = tables.read_quarantined(t.spark, name, f"{folder}/{name}", "csv")
+        accepted = read.accepted.agg(n().alias("aceptadas"))
+        rejected = read.rejected.agg(n().alias("rechazadas"), F.max(F.col("motivos")[0]).alias("motivo"))
+        counts.append(
+            accepted.select(F.lit(name).alias("tabla"), "aceptadas", F.lit(0).cast("long").alias("rechazadas"),
+                            F.lit(None).cast("string").alias("motivo"))
+            .unionByName(rejected.select(F.lit(name).alias("tabla"),
+                                         F.lit(0).cast("long").alias("aceptadas"), "rechazadas", "motivo"))
+        )
+    whole = reduce(DataFrame.unionByName, counts)
+    return whole.groupBy("tabla").agg(
+        F.sum("aceptadas").alias("aceptadas"),
+        F.sum("rechazadas").alias("rechazadas"),
+        F.max("motivo").alias("motivo"),
     )
-    return months.join(receipts, "mesid_ipc", "left").fillna(0, ["recibos"])
 
 
 _SAMPLE = """

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from remanente.functions import dates, schema
-from remanente.operators import accounting, accrual, curves, lookups, prep, reconcile
+from remanente.operators import accounting, accrual, curves, lookups, prep, quality, reconcile
 from remanente.operators.wildcard import best_rule, wildcard_count
+from remanente.plans.close import with_bt_counts
 from remanente.queries import stages as s
 from remanente.queries.inputs import CFG, TRANSITION, Inputs
 from remanente.queries.lookup_queries import (
@@ -300,24 +301,46 @@ def distinct_rows(t: Inputs) -> DataFrame:
     return shown(shares, prep.CEDED_POLICY_FIELDS[:-1], ["porc_cesion"])
 
 
+_RATE = ", ".join(quality.RATE_KEYS)
+_DISCOUNT = ", ".join(lookups.DISCOUNT_KEYS)
+
+
 @query(
     "conteo_registros",
-    """
-SELECT ramo_sura, COUNT(*) AS antes, COUNT(bt) AS con_bt, COUNT(*) AS despues FROM cont_prima
-GROUP BY 1""",
+    f"""
+SELECT 'movimientos_antes' AS control, COUNT(*) AS cantidad FROM mov_prima
+UNION ALL SELECT 'filas_contables', COUNT(*) FROM cont_prima
+UNION ALL SELECT 'con_bt', COUNT(*) FROM cont_prima WHERE bt IS NOT NULL
+UNION ALL SELECT 'tarifas_solapadas', COUNT(*) FROM (
+  SELECT fecha_inicio, MAX(fecha_fin) OVER (PARTITION BY {_RATE} ORDER BY fecha_inicio, fecha_fin
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hasta FROM gasto)
+  WHERE fecha_inicio <= hasta
+UNION ALL SELECT 'riesgos_solapados', COUNT(*) FROM riesgo_credito AS a
+  WHERE EXISTS (SELECT 1 FROM riesgo_credito AS b WHERE a.nit_reasegurador = b.nit_reasegurador
+    AND b.fecha_inicio_vigencia < a.fecha_inicio_vigencia
+    AND COALESCE(b.fecha_fin_vigencia, DATE '9999-12-31') >= a.fecha_inicio_vigencia)
+UNION ALL SELECT 'descuentos_repetidos', CAST(COALESCE(SUM(veces), 0) AS BIGINT) FROM (
+  SELECT COUNT(*) AS veces FROM descuento GROUP BY {_DISCOUNT}) WHERE veces > 1
+UNION ALL SELECT 'descuentos_sin_prima', COUNT(*) FROM descuento
+  WHERE podto_comercial + podto_tecnico = 1
+UNION ALL SELECT 'contratos_sin_limite', COUNT(*) FROM seguimiento_rea
+  WHERE limite_agregado_valor_instalado = 0""",
 )
 def conteo_registros(t: Inputs) -> DataFrame:
-    """Movements before and after the business-transaction join, and how many found one."""
+    """Movements before and after the business-transaction join, counted in passing while they are
+    worked out once, and the controls of the inputs."""
+    before, after = Observation(), Observation()
     coded = accounting.attach_insurance_type(
         accounting.map_codes(accounting.to_movements(premium_valued(t)), t["nomenclatura"]),
         t["tipo_seguro"],
-    )
-    before = coded.groupBy("ramo_sura").agg(n().alias("antes"))
+    ).observe(before, F.count(F.lit(1)).alias("movimientos_antes"))
     joined = accounting.attach_bt(coded, accounting.bt_in_scope(t["relacion_bt"]))
-    after = joined.groupBy("ramo_sura").agg(
-        F.count("bt").alias("con_bt"), n().alias("despues")
+    with_bt_counts(joined, after).write.format("noop").mode("overwrite").save()
+    seen = t.spark.createDataFrame(
+        list({**before.get, **after.get}.items()), "control string, cantidad long"
     )
-    return before.join(after, "ramo_sura")
+    given = t.only("gasto", "riesgo_credito", "descuento", "seguimiento_rea")
+    return seen.unionByName(quality.controls(given))
 
 
 # --- 2.6 windows ----------------------------------------------------------------------------------------
