@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -341,13 +342,10 @@ def sink_outputs(t: Inputs) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-# --- a chain of closes -----------------------------------------------------------------------------------
+# --- a date within the month -------------------------------------------------------------------------
 
-CHAIN = [date(1998, 3, 31), date(1998, 4, 30), FV]
-_CHAIN = ["tipo_insumo", "contrato_reaseguro", "nit_reasegurador", "tipo_negocio",
-          "tipo_contabilidad", "regla_devengo", "estado_devengo"]
-_CHAIN_KEYS = ["tipo_insumo", "tipo_negocio", "compania", "ramo_sura", "contrato_reaseguro",
-               "nit_reasegurador", "tipo_contabilidad"]
+MID_MONTH = date(1998, 5, 14)
+_CFG_MID = replace(CFG, fecha_valoracion=MID_MONTH)
 
 
 def _stages_at(root: str, suffix: str, day: date, given: dict[str, str]) -> None:
@@ -375,6 +373,41 @@ def _stages_at(root: str, suffix: str, day: date, given: dict[str, str]) -> None
     copy(root)
 
 
+_stages_at("dev_mix", "_medio", MID_MONTH, {})
+
+
+def inputs_at(t: Inputs, cfg) -> list[DataFrame]:
+    """Inputs that take all five rules, at the valuation date of ``cfg``."""
+    p, rules, finance = params(t), t["excepciones_50_50"], t["componente_financiacion"]
+    financed, others = prep.split_financed_line(
+        prep.direct_premium(t["recibos"], p, rules, cfg), cfg
+    )
+    index, curve = curves.price_index(t["inflacion"]), curves.curve_factors(t["curvas"], finance)
+    return [
+        others,
+        prep.with_financing(financed, finance, index, curve, cfg),
+        prep.investment_component(t["componente_inversion"], p, cfg),
+        prep.onerous_contracts(t["onerosidad"], p, cfg),
+        prep.ceded_premium(t["cesion_rea"], p, rules, cfg),
+        prep.contract_cost(t["costo_contrato_rea"], t["seguimiento_rea"], p, rules, cfg),
+    ]
+
+
+@query("devengar__medio_mes", _groups(_DEV, _DEV_V) + " FROM dev_mix_medio GROUP BY ALL")
+def devengar_mid_month(t: Inputs) -> DataFrame:
+    """All five rules at a date that is no month end."""
+    return grouped(accrual.accrue(union_aligned(inputs_at(t, _CFG_MID)), _CFG_MID), _DEV, _DEV_V)
+
+
+# --- a chain of closes -----------------------------------------------------------------------------------
+
+CHAIN = [date(1998, 3, 31), date(1998, 4, 30), FV]
+_CHAIN = ["tipo_insumo", "contrato_reaseguro", "nit_reasegurador", "tipo_negocio",
+          "tipo_contabilidad", "regla_devengo", "estado_devengo"]
+_CHAIN_KEYS = ["tipo_insumo", "tipo_negocio", "compania", "ramo_sura", "contrato_reaseguro",
+               "nit_reasegurador", "tipo_contabilidad"]
+
+
 def _carrying(source: str, keys: list[str], closed: str | None) -> str:
     """Parameters attached, with the balance of the month before, which no row has in the first."""
     if closed is None:

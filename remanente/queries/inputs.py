@@ -167,7 +167,6 @@ def _ceded(spark: SparkSession, sf: str) -> DataFrame:
     share = 0.2 + F.col("x_descuento")
     return (
         base_receipts(spark, sf)
-        .filter(supplier % 3 == 0)
         .withColumns(
             {
                 "tipo_insumo": F.lit("cesion_rea_prop"),
@@ -214,7 +213,7 @@ SELECT * REPLACE ('cesion_rea_prop' AS tipo_insumo,
   make_date(year(fecha_inicio_vigencia_recibo), 12, 31) AS fe_fin_vig_contrato_reaseguro,
   recibo AS recibo_rea,
   valor_prima_emitida * (CAST(0.2 AS DOUBLE) + x_descuento) AS valor_prima_cedida
-FROM base WHERE x_proveedor % 3 = 0"""
+FROM base"""
 SQL["cesion_rea"] = (
     f"SELECT {', '.join(RECEIPT + _CONTRACT)}, valor_prima_cedida FROM cedido"
 )
