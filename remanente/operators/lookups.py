@@ -61,16 +61,19 @@ def active_parameters(params: DataFrame) -> DataFrame:
     return params.filter(F.col("estado_insumo") == 1)
 
 
-def attach_accounting_params(base: DataFrame, params: DataFrame) -> DataFrame:
+def attach_accounting_params(
+    base: DataFrame, params: DataFrame, by_row: bool = False
+) -> DataFrame:
     """One row per accounting standard of the row's input and business kind.
 
     A base that already names its standard keeps only the combinations the table allows; others
-    keep rows that the table does not know. The parameters of a kind are one entry of a dictionary,
-    so that rows which all have the same kind meet no join on a constant.
+    keep rows that the table does not know. ``by_row``: rows with a standard and rows without one
+    stand in one base. The parameters of a kind are one entry of a dictionary, so that rows which all
+    have the same kind meet no join on a constant.
     """
     keys = ["tipo_insumo", "tipo_negocio"]
     named = "tipo_contabilidad" in base.columns
-    if named:
+    if named and not by_row:
         keys = [*keys, "tipo_contabilidad"]
     fields = [f for f in ("tipo_contabilidad", *ACCOUNTING_FIELDS) if f not in keys]
     kinds = params.groupBy(*keys).agg(F.collect_list(F.struct(*fields)).alias("_filas"))
@@ -78,9 +81,19 @@ def attach_accounting_params(base: DataFrame, params: DataFrame) -> DataFrame:
     table = dictionary(kinds, of_kind, F.col("_filas"), "the table of accounting parameters")
     found = look_up(base, table, {"_parametros": of_kind})
     rows = found.select(*base.columns, F.explode_outer("_parametros").alias("_parametro"))
-    if named:
-        rows = rows.filter(F.col("_parametro").isNotNull())
-    return rows.select(*base.columns, *[F.col(f"_parametro.{f}") for f in fields])
+    if not named:
+        return rows.select(*base.columns, *[F.col(f"_parametro.{f}") for f in fields])
+    if not by_row:
+        known = rows.filter(F.col("_parametro").isNotNull())
+        return known.select(*base.columns, *[F.col(f"_parametro.{f}") for f in fields])
+    own, given = F.col("tipo_contabilidad"), F.col("_parametro.tipo_contabilidad")
+    fitting = rows.filter(own.isNull() | (own == given))
+    others = [c for c in base.columns if c != "tipo_contabilidad"]
+    return fitting.select(
+        *others,
+        F.coalesce(own, given).alias("tipo_contabilidad"),
+        *[F.col(f"_parametro.{f}") for f in fields if f != "tipo_contabilidad"],
+    )
 
 
 def attach_discounts(

@@ -13,6 +13,7 @@ from remanente.config import RunConfig
 from remanente.functions.dates import as_col, level_date, month_start, yyyymm
 from remanente.functions.schema import with_cohort, with_transition
 from remanente.operators.lookups import (
+    FLAG_5050,
     attach_accounting_params,
     attach_contract_tracking,
     attach_discounts,
@@ -60,41 +61,65 @@ def with_same_terms(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.withColumns(terms)
 
 
-def _booked_amount(receipts, params, exceptions, amount, cfg) -> DataFrame:
-    ready = mark_fifty_fifty(
-        attach_accounting_params(up_to_valuation(receipts, BOOKED, cfg), params), exceptions
+def events(df: DataFrame, event: str, amount: Column | str, marked: bool = True) -> DataFrame:
+    """Rows of an input on the way: when they are recognised, how much, and whether the half/half
+    exceptions apply to them."""
+    return df.withColumns(
+        {"_evento": F.col(event), "_monto": as_col(amount), "_con_marca": F.lit(marked)}
+    )
+
+
+def ready_to_accrue(rows: DataFrame, params: DataFrame, exceptions: DataFrame) -> DataFrame:
+    """Accounting parameters, exceptions and accrual terms of event rows, of one input or of many."""
+    found = attach_accounting_params(rows, params, by_row=True)
+    ruled = mark_fifty_fifty(found, exceptions)
+    flag = F.when(F.col("_con_marca"), F.col(FLAG_5050)).alias(FLAG_5050)
+    return with_accrual_terms(ruled.withColumn(FLAG_5050, flag), "_evento", "_monto").drop(
+        "_evento", "_monto", "_con_marca"
     )
-    return with_accrual_terms(ready, BOOKED, amount)
+
+
+def premium_events(receipts: DataFrame, cfg: RunConfig) -> DataFrame:
+    return events(up_to_valuation(receipts, BOOKED, cfg), BOOKED, "valor_prima_emitida")
 
 
 def direct_premium(
     receipts: DataFrame, params: DataFrame, exceptions: DataFrame, cfg: RunConfig
 ) -> DataFrame:
-    return _booked_amount(receipts, params, exceptions, "valor_prima_emitida", cfg)
+    return ready_to_accrue(premium_events(receipts, cfg), params, exceptions)
+
+
+def ceded_premium_events(cessions: DataFrame, cfg: RunConfig) -> DataFrame:
+    return events(up_to_valuation(cessions, BOOKED, cfg), BOOKED, "valor_prima_cedida")
 
 
 def ceded_premium(
     cessions: DataFrame, params: DataFrame, exceptions: DataFrame, cfg: RunConfig
 ) -> DataFrame:
-    return _booked_amount(cessions, params, exceptions, "valor_prima_cedida", cfg)
+    return ready_to_accrue(ceded_premium_events(cessions, cfg), params, exceptions)
+
+
+def commission_events(commissions: DataFrame, cfg: RunConfig) -> DataFrame:
+    return events(up_to_valuation(commissions, BOOKED, cfg), BOOKED, "valor_comision_rea")
 
 
 def ceded_commission(
     commissions: DataFrame, params: DataFrame, exceptions: DataFrame, cfg: RunConfig
 ) -> DataFrame:
-    return _booked_amount(commissions, params, exceptions, "valor_comision_rea", cfg)
+    return ready_to_accrue(commission_events(commissions, cfg), params, exceptions)
 
 
-def _discount(receipts, params, exceptions, discounts, cfg, kind, premium, reinsurance):
+def _discount_events(receipts, discounts, cfg, kind, premium, reinsurance):
     relabelled = up_to_valuation(receipts, BOOKED, cfg).withColumn("tipo_insumo", F.lit(kind))
-    ready = attach_discounts(
-        mark_fifty_fifty(attach_accounting_params(relabelled, params), exceptions),
-        discounts,
-        reinsurance,
-    )
+    ready = attach_discounts(relabelled, discounts, reinsurance)
     kept_share = 1 - (F.col("podto_comercial") + F.col("podto_tecnico"))
     list_premium = F.try_divide(F.col(premium), kept_share)
-    return with_accrual_terms(ready, BOOKED, list_premium * F.col("podto_comercial"))
+    return events(ready, BOOKED, list_premium * F.col("podto_comercial"))
+
+
+def discount_events(receipts: DataFrame, discounts: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Commercial discount on the premium before any discount."""
+    return _discount_events(receipts, discounts, cfg, "dcto_directo", "valor_prima_emitida", False)
 
 
 def direct_discount(
@@ -104,10 +129,12 @@ def direct_discount(
     discounts: DataFrame,
     cfg: RunConfig,
 ) -> DataFrame:
-    """Commercial discount on the premium before any discount."""
-    return _discount(
-        receipts, params, exceptions, discounts, cfg, "dcto_directo", "valor_prima_emitida", False
-    )
+    return ready_to_accrue(discount_events(receipts, discounts, cfg), params, exceptions)
+
+
+def ceded_discount_events(cessions: DataFrame, discounts: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Commercial discount on ceded premium, found through the reinsurance receipt."""
+    return _discount_events(cessions, discounts, cfg, "dcto_rea_prop", "valor_prima_cedida", True)
 
 
 def ceded_discount(
@@ -117,10 +144,7 @@ def ceded_discount(
     discounts: DataFrame,
     cfg: RunConfig,
 ) -> DataFrame:
-    """Commercial discount on ceded premium, found through the reinsurance receipt."""
-    return _discount(
-        cessions, params, exceptions, discounts, cfg, "dcto_rea_prop", "valor_prima_cedida", True
-    )
+    return ready_to_accrue(ceded_discount_events(cessions, discounts, cfg), params, exceptions)
 
 
 def expense_input_name(mapping: dict[str, str], cfg: RunConfig) -> Column:
@@ -131,11 +155,17 @@ def expense_input_name(mapping: dict[str, str], cfg: RunConfig) -> Column:
     return F.when(mathematical, F.concat(F.lit(PREFIJO_MATEMATICA), named)).otherwise(named)
 
 
-def _expense(receipts, params, exceptions, expenses, cfg, mapping, premium) -> DataFrame:
+def _expense_events(receipts, expenses, cfg, mapping, premium) -> DataFrame:
+    """Expenses name their standard; one that names none fits no parameters and goes."""
     priced = attach_expenses(up_to_valuation(receipts, BOOKED, cfg), expenses)
-    named = priced.withColumn("tipo_insumo", expense_input_name(mapping, cfg))
-    ready = mark_fifty_fifty(attach_accounting_params(named, params), exceptions)
-    return with_accrual_terms(ready, BOOKED, F.col(premium) * F.col("porc_gasto"))
+    named = priced.filter(F.col("tipo_contabilidad").isNotNull()).withColumn(
+        "tipo_insumo", expense_input_name(mapping, cfg)
+    )
+    return events(named, BOOKED, F.col(premium) * F.col("porc_gasto"))
+
+
+def expense_events(receipts: DataFrame, expenses: DataFrame, cfg: RunConfig) -> DataFrame:
+    return _expense_events(receipts, expenses, cfg, GASTO_A_INSUMO_DIRECTO, "valor_prima_emitida")
 
 
 def direct_expense(
@@ -145,9 +175,13 @@ def direct_expense(
     expenses: DataFrame,
     cfg: RunConfig,
 ) -> DataFrame:
-    return _expense(
-        receipts, params, exceptions, expenses, cfg, GASTO_A_INSUMO_DIRECTO, "valor_prima_emitida"
-    )
+    return ready_to_accrue(expense_events(receipts, expenses, cfg), params, exceptions)
+
+
+def ceded_expense_events(cessions: DataFrame, expenses: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Only the expense types a cession takes part in; the expense table is cut before the join."""
+    shared = expenses.filter(F.col("tipo_gasto").isin(*GASTO_A_INSUMO_REA))
+    return _expense_events(cessions, shared, cfg, GASTO_A_INSUMO_REA, "valor_prima_cedida")
 
 
 def ceded_expense(
@@ -157,17 +191,22 @@ def ceded_expense(
     expenses: DataFrame,
     cfg: RunConfig,
 ) -> DataFrame:
-    """Only the expense types a cession takes part in; the expense table is cut before the join."""
-    shared = expenses.filter(F.col("tipo_gasto").isin(*GASTO_A_INSUMO_REA))
-    return _expense(
-        cessions, params, exceptions, shared, cfg, GASTO_A_INSUMO_REA, "valor_prima_cedida"
+    return ready_to_accrue(ceded_expense_events(cessions, expenses, cfg), params, exceptions)
+
+
+def onerous_events(onerosity: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Onerous contracts, to which no half/half exception applies."""
+    termed = with_same_terms(
+        up_to_valuation(onerosity, "fecha_operacion", cfg),
+        "fecha_operacion",
+        "fecha_fin_vigencia_poliza",
     )
+    return events(termed, "fecha_operacion", "valor_onerosidad", marked=False)
 
 
 def onerous_contracts(onerosity: DataFrame, params: DataFrame, cfg: RunConfig) -> DataFrame:
-    ready = attach_accounting_params(up_to_valuation(onerosity, "fecha_operacion", cfg), params)
-    termed = with_same_terms(ready, "fecha_operacion", "fecha_fin_vigencia_poliza")
-    return with_accrual_terms(termed, "fecha_operacion", "valor_onerosidad")
+    found = attach_accounting_params(onerous_events(onerosity, cfg), params)
+    return with_accrual_terms(found, "_evento", "_monto").drop("_evento", "_monto", "_con_marca")
 
 
 CEDED_POLICY_FIELDS = [
@@ -191,26 +230,30 @@ def join_ceded_policies(onerosity: DataFrame, cessions: DataFrame) -> DataFrame:
     return onerosity.drop("tipo_negocio").join(shares, ["poliza", "compania", "ramo_sura"], "inner")
 
 
-def proportional_recovery(
-    onerosity: DataFrame,
-    cessions: DataFrame,
-    params: DataFrame,
-    exceptions: DataFrame,
-    cfg: RunConfig,
-) -> DataFrame:
+def recovery_events(onerosity: DataFrame, cessions: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Onerosity recovered under every share a policy is ceded under."""
     relabelled = up_to_valuation(onerosity, "fecha_operacion", cfg).withColumn(
         "tipo_insumo", F.lit("recup_onerosidad_pp")
     )
-    ready = mark_fifty_fifty(
-        attach_accounting_params(join_ceded_policies(relabelled, cessions), params), exceptions
+    termed = with_same_terms(
+        join_ceded_policies(relabelled, cessions), "fecha_operacion", "fecha_fin_vigencia_poliza"
     )
-    termed = with_same_terms(ready, "fecha_operacion", "fecha_fin_vigencia_poliza")
     share = (
         F.col("valor_onerosidad")
         * F.col("porc_cesion")
         * F.col("porc_participacion_reasegurador")
     )
-    return with_accrual_terms(termed, "fecha_operacion", share)
+    return events(termed, "fecha_operacion", share)
+
+
+def proportional_recovery(
+    onerosity: DataFrame,
+    cessions: DataFrame,
+    params: DataFrame,
+    exceptions: DataFrame,
+    cfg: RunConfig,
+) -> DataFrame:
+    return ready_to_accrue(recovery_events(onerosity, cessions, cfg), params, exceptions)
 
 
 def _contract_base(
