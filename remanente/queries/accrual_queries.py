@@ -523,12 +523,27 @@ def written_catalogue(t: Inputs, names: list[str], folder: str) -> None:
         list(pool.map(write, names))
 
 
-@query("pcr_batch", _groups(_CLOSE, _CLOSE_V) + " FROM cont_pcr_marca_cierre GROUP BY ALL")
+def close_tables(t: Inputs, folder: str) -> dict[str, DataFrame]:
+    """All inputs of a close, written to a catalogue and read from it."""
+    names = [*CLOSE_INPUTS, *CLOSE_NAMES]
+    written_catalogue(t, names, folder)
+    return read_catalogue(t.spark, folder, names)
+
+
+_WHOLE = _groups(_CLOSE, _CLOSE_V) + " FROM cont_pcr_marca_cierre GROUP BY ALL"
+
+
+@query("pcr_batch", _WHOLE)
 def pcr_batch(t: Inputs) -> DataFrame:
-    """The whole way of a close: tables read from a catalogue, both outputs published and read back."""
+    """The movements of a close of all inputs, read from a catalogue."""
+    tables = close_tables(t, f"{shared_folder(t.spark)}/insumos-{uuid.uuid4().hex}")
+    out = close.accounting_close(close.accrual_output(tables, CFG), tables, CFG)
+    return grouped(out, _CLOSE, _CLOSE_V)
+
+
+@query("cierre_publicado", _WHOLE)
+def cierre_publicado(t: Inputs) -> DataFrame:
+    """The whole way of a close: both outputs written in full, published together and read back."""
     folder = f"{shared_folder(t.spark)}/cierre-{uuid.uuid4().hex}"
-    names = [*CLOSE_INPUTS, *CLOSE_NAMES]
-    written_catalogue(t, names, f"{folder}/insumos")
-    tables = read_catalogue(t.spark, f"{folder}/insumos", names)
-    close.run_close(t.spark, tables, CFG, folder)
+    close.run_close(t.spark, close_tables(t, f"{folder}/insumos"), CFG, folder)
     return grouped(read_published(t.spark, folder, close.ACCOUNTING, FV), _CLOSE, _CLOSE_V)
