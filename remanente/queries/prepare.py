@@ -435,8 +435,8 @@ def _first_typed(name: str) -> str | None:
     """The first column of a table that is not text."""
     if name in _BROKEN:
         return _BROKEN[name]
-    declared = T._parse_datatype_string(SCHEMAS[name])
-    return next((f.name for f in declared if not isinstance(f.dataType, T.StringType)), None)
+    fields = (field.split() for field in SCHEMAS[name].split(","))  # no session is needed for this
+    return next((column for column, kind in fields if kind != "string"), None)
 
 
 @query(
