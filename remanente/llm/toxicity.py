@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remanente.llm.common import over_texts, packed, restored, texts
+from remanente.llm.common import over_texts, packed, restored, texts, written
 
 #: Examples of each kind to fit on, the first by a hash of their ids. Everything else covers all
 #: documents.
@@ -75,40 +75,40 @@ class Ordinal:
         return self.of_words(word_set(text))
 
 
-def grades(sets: list[list[bytes]], toxic: np.ndarray) -> np.ndarray:
+@dataclass
+class Counted:
+    """Examples as numbers: words that enough of them hold, and which example (row) holds which word
+    (column of ``vocabulary``), by row, then column."""
+
+    vocabulary: list[bytes]
+    row: np.ndarray
+    column: np.ndarray
+    toxic: np.ndarray
+
+
+def grades(found: Counted) -> np.ndarray:
     """0 for clean examples; toxic ones in about equal parts by their number of telling words."""
-    seen: dict[bytes, np.ndarray] = {}
-    for words, kind in zip(sets, toxic, strict=True):
-        for w in words:
-            seen.setdefault(w, np.zeros(2))[int(kind)] += 1
-    clean, bad = max(1, int((~toxic).sum())), max(1, int(toxic.sum()))
-    telling = {
-        w for w, (a, b) in seen.items() if b >= LEAST and b / bad >= LIFT * (a + 0.5) / clean
-    }
-    found = np.array([len(telling.intersection(words)) for words in sets])
-    edges = np.unique(np.quantile(found[toxic], np.arange(1, GRADES) / GRADES))
-    return np.where(toxic, 1 + np.searchsorted(edges, found, side="left"), 0)
-
-
-def fit(sets: list[list[bytes]], toxic: np.ndarray) -> Ordinal:
+    toxic, m = found.toxic, len(found.vocabulary)
+    seen = np.bincount(found.column, minlength=m)
+    bad = np.bincount(found.column, toxic[found.row], minlength=m)
+    n_clean, n_bad = max(1, int((~toxic).sum())), max(1, int(toxic.sum()))
+    telling = (bad >= LEAST) & (bad / n_bad >= LIFT * (seen - bad + 0.5) / n_clean)
+    told = np.bincount(found.row, telling[found.column], minlength=len(toxic))
+    edges = np.unique(np.quantile(told[toxic], np.arange(1, GRADES) / GRADES))
+    return np.where(toxic, 1 + np.searchsorted(edges, told, side="left"), 0)
+
+
+def fit(found: Counted) -> Ordinal:
     """Weights and cuts of least penalised loss.
 
     Only words whose slope exceeds the penalty can gain weight; the fit starts with those at zero
     weights and is repeated with any that exceed it later.
     """
+    toxic, row, column = found.toxic, found.row, found.column
     if not toxic.any() or toxic.all():
         return Ordinal({}, np.empty(0))
-    grade = grades(sets, toxic)
-    counts: dict[bytes, int] = {}
-    for words in sets:
-        for w in words:
-            counts[w] = counts.get(w, 0) + 1
-    vocabulary = sorted(w for w, n in counts.items() if n >= LEAST)
-    number = {w: k for k, w in enumerate(vocabulary)}
-    column = [np.array([number[w] for w in words if w in number], np.int64) for words in sets]
-    row = np.repeat(np.arange(len(sets)), [len(c) for c in column])
-    column = np.concatenate(column)
-    n, m, levels = len(sets), len(vocabulary), int(grade.max())
+    grade = grades(found)
+    n, m, levels = len(toxic), len(found.vocabulary), int(grade.max())
     below = np.array([(grade <= k).mean() for k in range(levels)])
     w, cuts = np.zeros(m), np.log(below / (1 - below))
     penalty = PENALTY * 0.5 * np.sqrt(np.bincount(column, minlength=m)) / n
@@ -129,8 +129,10 @@ def fit(sets: list[list[bytes]], toxic: np.ndarray) -> Ordinal:
     x = np.zeros((n, len(chosen)))
     x[row[keep], place[column[keep]]] = 1
     w[chosen], cuts = refit(x, grade, w[chosen], cuts)
-    model = Ordinal({vocabulary[i]: float(w[i]) for i in np.flatnonzero(w)}, cuts)
-    model.limit = dividing(np.array([model.of_words(set(words))[0] for words in sets]), toxic)
+    model = Ordinal({found.vocabulary[i]: float(w[i]) for i in np.flatnonzero(w)}, cuts)
+    up_to = logistic(cuts[None, :] - (x @ w[chosen])[:, None])
+    edge = np.concatenate([np.zeros((n, 1)), up_to, np.ones((n, 1))], axis=1)
+    model.limit = dividing(np.diff(edge, axis=1) @ np.arange(levels + 1), toxic)
     return model
 
 
@@ -223,10 +225,29 @@ def examples(docs: DataFrame, labels: DataFrame, each: int = EXAMPLES) -> DataFr
     return over_texts(found, rows, "words array<binary>").select("doc_id", "toxic", "words")
 
 
+def counted(found: DataFrame) -> Counted:
+    """Examples as numbers. Words are counted in Spark; the driver holds those that occur in LEAST
+    examples once each, and one 32-bit number for each of their occurrences."""
+    often = found.select(F.explode("words").alias("word")).groupBy("word").count()
+    words = often.where(F.col("count") >= LEAST).select("word").toArrow()["word"].to_pylist()
+    vocabulary = sorted(bytes(w) for w in words)
+    number = {w: k for k, w in enumerate(vocabulary)}
+    shared = found.sparkSession.sparkContext.broadcast(number)
+
+    def rows(batch: list[list[bytes]]) -> dict[str, list]:
+        known = shared.value
+        return {"ids": [sorted(known[w] for w in words if w in known) for words in batch]}
+
+    numbers = over_texts(found, rows, "ids array<int>", "words").toArrow().sort_by("doc_id")
+    ids = numbers["ids"].combine_chunks()
+    sizes = np.diff(ids.offsets.to_numpy())
+    row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    toxic = numbers["toxic"].to_numpy().astype(float) > 0
+    return Counted(vocabulary, row, ids.flatten().to_numpy(), toxic)
+
+
 def train(docs: DataFrame, labels: DataFrame, each: int = EXAMPLES) -> Ordinal:
-    found = examples(docs, labels, each).toArrow().sort_by("doc_id")
-    toxic = np.array(found["toxic"].to_pylist(), float) > 0
-    return fit(found["words"].to_pylist(), toxic)
+    return fit(counted(written(examples(docs, labels, each), "examples")))
 
 
 def scored(docs: DataFrame, model: Ordinal) -> DataFrame:

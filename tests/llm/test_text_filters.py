@@ -145,11 +145,28 @@ def test_toxicity_without_examples(spark):
     assert toxicity.report(cases.nothing(spark), none).count() == 0
 
 
+def numbered(train: list[tuple[int, str, int]]) -> toxicity.Counted:
+    """Examples as numbers, counted word by word."""
+    sets = [toxicity.word_set(t) for _, t, _ in train]
+    often = sorted(w for w in set().union(*sets) if sum(w in s for s in sets) >= toxicity.LEAST)
+    pairs = [(k, c) for k, words in enumerate(sets) for c, w in enumerate(often) if w in words]
+    row, column = (np.array(x, np.int32) for x in zip(*pairs, strict=True))
+    return toxicity.Counted(often, row, column, np.array([bad > 0 for *_, bad in train]))
+
+
+def test_examples_are_counted_in_spark_as_word_by_word(spark):
+    train = toxic_case(60, 4)
+    docs = cases.documents(spark, [(d, t) for d, t, _ in train])
+    labels = spark.createDataFrame([(d, 1, bad) for d, _, bad in train], LABELS)
+    got, want = toxicity.counted(toxicity.examples(docs, labels)), numbered(train)
+    assert got.vocabulary == want.vocabulary
+    for name in ("row", "column", "toxic"):
+        assert getattr(got, name).tolist() == getattr(want, name).tolist()
+
+
 def test_ordinal_cuts_are_ordered_and_share_weights():
     train = toxic_case(600, 3)
-    model = toxicity.fit(
-        [sorted(toxicity.word_set(t)) for _, t, _ in train], np.array([b > 0 for *_, b in train])
-    )
+    model = toxicity.fit(numbered(train))
     assert list(model.cuts) == sorted(model.cuts)
     assert all(w >= 0 for w in model.weights.values())
     few, many = model.expected("the grobnik")[0], model.expected("grobnik vileish scorn vileton")[0]
