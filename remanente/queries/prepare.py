@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remanente.functions.schema import union_aligned
-from remanente.operators import accounting, accrual, curves, lookups, prep
+from remanente.operators import accounting, curves, lookups, prep
 from remanente.queries import stages as s
 from remanente.queries.inputs import CFG, Inputs
 from remanente.queries.registry import KEYS, n, query, shown, total

@@ -17,7 +17,8 @@ from remanente.queries.inputs import CFG, Inputs
 from remanente.queries.prepare import raw_receipts
 from remanente.queries.registry import total
 from remanente.session import shared_folder
-from remanente.sources import sinks, tables
+from remanente.sources import tables
+from remanente.sources.publication import Staged, read_published
 from remanente.sources.schemas import SCHEMAS
 
 SF = "/root/testdata/sf0.001"
@@ -56,19 +57,6 @@ def test_csv_catalogue_keeps_leading_zeros_and_reads_nan_as_null(spark, tmp_path
     assert tuple(read["inflacion"].first()) == (date(2025, 1, 1), None)
 
 
-def test_writing_a_close_again_replaces_only_that_close(spark, tmp_path):
-    path = str(tmp_path / "salida")
-
-    def rows(day, n):
-        return spark.createDataFrame([(day, i) for i in range(n)], "fecha_valoracion date, x int")
-
-    sinks.write_close(rows(date(2025, 1, 31), 3), path)
-    sinks.write_close(rows(date(2025, 2, 28), 5), path)
-    sinks.write_close(rows(date(2025, 2, 28), 2), path)
-    counts = {r[0]: r[1] for r in spark.read.parquet(path).groupBy("fecha_valoracion").count().collect()}
-    assert counts == {date(2025, 1, 31): 3, date(2025, 2, 28): 2}
-
-
 @needs_data
 def test_whole_close_is_written_and_keeps_its_identities(spark):
     t = Inputs(spark, SF).only(*CLOSE_INPUTS)
@@ -140,16 +128,22 @@ def test_contract_base_by_row(spark, mode):
     assert {tuple(r) for r in rows} == {carried, fresh}
 
 
-def test_a_close_without_rows_clears_its_partition_and_reads_back_its_columns(spark, tmp_path):
-    path, day, old = str(tmp_path / "salida"), date(2025, 2, 28), date(2025, 1, 31)
-    sinks.write_close(spark.sql(f"SELECT DATE'{old}' AS fecha_valoracion, 1 AS a"), path, old)
-    now = spark.sql(f"SELECT DATE'{day}' AS fecha_valoracion, 1 AS a, 2 AS b")
-    sinks.write_close(now, path, day)
-    read = sinks.read_close(now, path, day)
+def test_a_close_without_rows_replaces_its_day_and_keeps_its_columns(spark, tmp_path):
+    folder, day, old = str(tmp_path / "salida"), date(2025, 2, 28), date(2025, 1, 31)
+
+    def publish(when, rows):
+        staged = Staged(spark, folder, when)
+        staged.write("a", rows)
+        staged.publish()
+
+    publish(old, spark.sql("SELECT 1 AS a"))
+    now = spark.sql("SELECT 1 AS a, 2 AS b")
+    publish(day, now)
+    read = read_published(spark, folder, "a", day)
     assert set(read.columns) == {"fecha_valoracion", "a", "b"} and read.first()["b"] == 2
-    sinks.write_close(now.limit(0), path, day)
-    assert sinks.read_close(now, path, day).count() == 0
-    assert sinks.read_close(now, path, old).count() == 1
+    publish(day, now.limit(0))
+    assert read_published(spark, folder, "a", day).count() == 0
+    assert read_published(spark, folder, "a", old).count() == 1
 
 
 def test_reconciliation_keys_of_different_types(spark):
@@ -158,6 +152,7 @@ def test_reconciliation_keys_of_different_types(spark):
         "1L AS k, 7 AS p, DATE'2025-01-01' AS d, 5.0D AS v",
         "'1' AS k, 7L AS p, '2025-01-01' AS d, 5.0D AS v",
         "1S AS k, '7' AS p, TIMESTAMP'2025-01-01 00:00:00' AS d, 5.0D AS v",
+        "1.0D AS k, '7' AS p, DATE'2025-01-01' AS d, 5.0D AS v",
     ):
         columns = ["k", "p", "d", "v"]
         both = reconcile.null_safe_join(
@@ -165,7 +160,7 @@ def test_reconciliation_keys_of_different_types(spark):
         )
         assert [(r["v"], r["v_right"]) for r in both.collect()] == [(5.0, 5.0)]
     with pytest.raises(TypeError, match="key k"):
-        wrong = spark.sql("SELECT 1.5D AS k, '7' AS p, DATE'2025-01-01' AS d, 5.0D AS v")
+        wrong = spark.sql("SELECT true AS k, '7' AS p, DATE'2025-01-01' AS d, 5.0D AS v")
         reconcile.null_safe_join(left, wrong, columns, columns, ["v"], {})
 
 
