@@ -55,10 +55,12 @@ def dictionary(rows: DataFrame, k: Column, value: Column, what: str) -> Column:
 def look_up(df: DataFrame, entries: Column, keys: Mapping[str, Column]) -> DataFrame:
     """Add a column for each key: its value in a dictionary, null where it has none or is null.
 
-    Keys become columns of their own first, so that each is made once and is no common part of
-    larger expressions, for which generated code can fail on wide rows.
+    The dictionary stands in each expression and never in a column: rows that are written between two
+    steps would each carry all of it. The copies in the plan are one subquery when it runs. Keys become
+    columns of their own first, so that each is made once and is no common part of larger expressions,
+    for which generated code can fail on wide rows.
     """
     own = {c: f"_llave_{c}" for c in keys}
-    ready = df.withColumns({"_diccionario": entries, **{own[c]: k for c, k in keys.items()}})
-    found = {c: F.expr(f"element_at(get(_diccionario, {_bucket(k)}), {k})") for c, k in own.items()}
-    return ready.withColumns(found).drop("_diccionario", *own.values())
+    ready = df.withColumns({own[c]: k for c, k in keys.items()})
+    found = {c: F.element_at(F.get(entries, F.expr(_bucket(k))), F.col(k)) for c, k in own.items()}
+    return ready.withColumns(found).drop(*own.values())
