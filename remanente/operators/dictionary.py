@@ -13,9 +13,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
-#: A dictionary of more entries than this is refused.
-MOST_ENTRIES = 100_000
+#: Entries of a bucket, on average.
+ENTRIES = 4
+#: A dictionary of more entries than this is refused: where a step runs without generated code, rows
+#: carry it from one step to the next.
+MOST_ENTRIES = 5_000
 #: Between the parts of a key; a control character that codes do not hold.
 SEPARATOR = "\x1f"
 
@@ -28,26 +30,19 @@ def key(*parts: Column) -> Column:
     return F.concat(*texts[1:]) if texts else F.lit("")
 
 
-def _bucket(k: str) -> str:
-    return f"cast(pmod(xxhash64({k}), {BUCKETS}) AS int)"
-
-
 def dictionary(rows: DataFrame, k: Column, value: Column, what: str) -> Column:
     """The rows as one value, a scalar subquery. Keys must differ; null keys are left out."""
-    pairs = rows.select(k.alias("k"), value.alias("v"))
-    kind = pairs.schema["v"].dataType.simpleString()
-    size = "aggregate(map_values(maps), 0, (n, m) -> n + size(m))"
+    n = f"cast(greatest(size(es) div {ENTRIES}, 1) AS int)"
     filled = (
-        f"transform(sequence(0, {BUCKETS - 1}), b -> coalesce(element_at(maps, b), "
-        f"cast(map() AS map<string, {kind}>)))"
+        f"transform(sequence(0, {n} - 1), b -> map_from_entries(filter(es, "
+        f"e -> pmod(xxhash64(e.k), {n}) = b)))"
     )
     refused = f"raise_error('{what} has more than {MOST_ENTRIES} entries; join it instead')"
     return (
-        pairs.filter("k IS NOT NULL")
-        .groupBy(F.expr(f"{_bucket('k')} AS b"))
-        .agg(F.expr("map_from_entries(collect_list(struct(k, v))) AS m"))
-        .agg(F.expr("map_from_entries(collect_list(struct(b, m))) AS maps"))
-        .select(F.expr(f"CASE WHEN {size} <= {MOST_ENTRIES} THEN {filled} ELSE {refused} END"))
+        rows.select(k.alias("k"), value.alias("v"))
+        .filter("k IS NOT NULL")
+        .agg(F.expr("collect_list(struct(k, v)) AS es"))
+        .select(F.expr(f"CASE WHEN size(es) <= {MOST_ENTRIES} THEN {filled} ELSE {refused} END"))
         .scalar()
     )
 
@@ -55,12 +50,16 @@ def dictionary(rows: DataFrame, k: Column, value: Column, what: str) -> Column:
 def look_up(df: DataFrame, entries: Column, keys: Mapping[str, Column]) -> DataFrame:
     """Add a column for each key: its value in a dictionary, null where it has none or is null.
 
-    The dictionary stands in each expression and never in a column: rows that are written between two
-    steps would each carry all of it. The copies in the plan are one subquery when it runs. Keys become
-    columns of their own first, so that each is made once and is no common part of larger expressions,
-    for which generated code can fail on wide rows.
+    Keys become columns of their own first, so that each is made once and is no common part of
+    larger expressions, for which generated code can fail on wide rows. The dictionary is a column
+    between two steps of generated code only, and is as small as its table.
     """
     own = {c: f"_llave_{c}" for c in keys}
-    ready = df.withColumns({own[c]: k for c, k in keys.items()})
-    found = {c: F.element_at(F.get(entries, F.expr(_bucket(k))), F.col(k)) for c, k in own.items()}
-    return ready.withColumns(found).drop(*own.values())
+    ready = df.withColumns({"_diccionario": entries, **{own[c]: k for c, k in keys.items()}})
+    found = {
+        c: F.expr(
+            f"element_at(get(_diccionario, cast(pmod(xxhash64({k}), size(_diccionario)) AS int)), {k})"
+        )
+        for c, k in own.items()
+    }
+    return ready.withColumns(found).drop("_diccionario", *own.values())
