@@ -101,10 +101,17 @@ def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def bucket_groups(
-    members: DataFrame, links: DataFrame, fits: Fits, confirmed: Confirmed, step: int = 16
+    members: DataFrame,
+    links: DataFrame,
+    fits: Fits,
+    confirmed: Confirmed,
+    step: int = 16,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """node, label: groups of nodes by ``links`` and all further links within buckets.
 
+    ``known`` has node and what else ``fits`` reads, which only members of open buckets get.
+
     Members still in other groups are compared with one in ``spread`` of their bucket, ``spread``
     falling by ``step`` in each round down to 1: at the end every fitting pair of a bucket has been
     compared or is in one group. So a bucket of many linked nodes costs few comparisons, and no pair
@@ -118,6 +125,8 @@ def bucket_groups(
         if most is None or spread == 1:
             return labels
         left = left.drop("size")
+        if known is not None:
+            left = written(left.join(known, "node"), "buckets")
         spread = max(1, (most if spread is None else min(spread, most)) // step)
         chosen = left.where(F.pmod(F.xxhash64("node"), F.lit(spread)) == 0)
         apart = F.col("label") != F.col("label_b")

@@ -9,6 +9,9 @@ full shingle sets.
 Equal sets form one class, and only classes are compared. Within a band's bucket all are compared
 with the smallest one first; what that leaves in different groups is compared with more and more
 members, at last with all, so that no link is lost and groups of linked texts cost few comparisons.
+Such pairs first pass an odd sketch: ODD_BITS bits, each the parity of the shingles that fall on it.
+Bits that differ are at most as many as shingles that only one text has, so a pair with more of them
+than a link allows is dropped for certain, inside the join, and no link with it.
 
 Null or blank text has an empty set: linked with nothing, kept. Rows without doc_id link nothing and
 are kept, with component_id null. Rows that share a doc_id count as one linked document. Only doc_id
@@ -33,6 +36,8 @@ SHINGLE = 5
 BANDS, ROWS = 48, 5
 #: Least similarity, as a percentage.
 PERCENT = 75
+#: Bits of an odd sketch.
+ODD_BITS = 1024
 
 _draw = np.random.default_rng(20240501)
 _BYTE = _draw.integers(0, 2**64, 256, np.uint64)
@@ -120,8 +125,15 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mixed(keys + np.arange(1, bands + 1, dtype=np.uint64) * _BASE)
 
 
+def odd_sketch(found: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of hashes that share their highest bits, in 64-bit words."""
+    place = (found >> np.uint64(64 - ODD_BITS.bit_length() + 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=ODD_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def features(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, set_id (digest of the set, null if empty), bands."""
+    """doc_id, n_shingles, set_id (digest of the set, null if empty), bands, odd (its sketch)."""
 
     def made(batch: list[str]) -> dict[str, list]:
         sets = [shingles(t) for t in batch]
@@ -134,9 +146,10 @@ def features(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
                 for s in sets
             ],
             "bands": [next(keys) if len(s) else None for s in sets],
+            "odd": [odd_sketch(s) if len(s) else None for s in sets],
         }
 
-    adds = "n_shingles long, set_id binary, bands array<long>"
+    adds = "n_shingles long, set_id binary, bands array<long>, odd array<long>"
     return over_texts(texts(docs), made, adds, slice_rows=1024)
 
 
@@ -161,6 +174,19 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(check, "a long, b long")
 
 
+def odd_fit(one: Part, other: Part, percent: int) -> Column:
+    """Whether two sketches differ in no more bits than linked sets have shingles of their own.
+
+    With n shingles in both sets together, d of them in one only: similarity is (n - d) / (n + d).
+    """
+    apart = [
+        F.bit_count(F.get(one("odd"), F.lit(k)).bitwiseXOR(F.get(other("odd"), F.lit(k))))
+        for k in range(ODD_BITS // 64)
+    ]
+    n = one("n_shingles") + other("n_shingles")
+    return (100 + percent) * sum(apart[1:], apart[0]) <= (100 - percent) * n
+
+
 def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """node, label: groups of classes, for classes that are linked to another one."""
     rows = classes.select("node", "n_shingles", F.explode("bands").alias("key"))
@@ -179,11 +205,15 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
         n, m = one("n_shingles"), other("n_shingles")
         return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
+    def sketches_fit(one: Part, other: Part) -> Column:
+        return sizes_fit(one, other) & odd_fit(one, other, percent)
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         return similar(pairs, sets, percent)
 
     first = star_links(members, sizes_fit, confirmed)
-    return bucket_groups(members, first, sizes_fit, confirmed)
+    sketches = classes.select("node", "odd")
+    return bucket_groups(members, first, sketches_fit, confirmed, known=sketches)
 
 
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -192,9 +222,9 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = made.where("doc_id IS NOT NULL AND n_shingles > 0")
     least = named.groupBy("set_id").agg(F.min("doc_id").alias("node"))
     classes = named.join(least, "set_id")
-    alone = classes.where("doc_id = node").select("node", "n_shingles", "bands")
+    alone = classes.where("doc_id = node").select("node", "n_shingles", "bands", "odd")
     labels = links(docs, alone, percent)
-    found = made.drop("bands").join(least, "set_id", "left").join(labels, "node", "left")
+    found = made.drop("bands", "odd").join(least, "set_id", "left").join(labels, "node", "left")
     group = F.when(
         F.col("doc_id").isNotNull(), F.coalesce("label", "node", F.col("doc_id"))
     ).alias("component_id")

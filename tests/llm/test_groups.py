@@ -115,6 +115,39 @@ def test_near_duplicates_take_null_and_repeated_ids(spark):
     assert minhash.groups(cases.nothing(spark)).count() == 0
 
 
+def test_copies_that_differ_too_much_are_not_compared_pair_by_pair(spark, monkeypatch):
+    draw, found = random.Random(5), []
+    base = [f"w{k}" for k in range(150)]
+    for k in range(60):
+        words = list(base)
+        for i in draw.sample(range(150), 5 if k % 20 else 1):
+            words[i] = f"x{k}y{i}"
+        found.append((k, " ".join(words)))
+    asked = []
+
+    def counting(pairs, sets, percent, real=minhash.similar):
+        asked.append(pairs.count())
+        return real(pairs, sets, percent)
+
+    monkeypatch.setattr(minhash, "similar", counting)
+    got = cases.as_dict(minhash.groups(cases.documents(spark, found)))
+    want = {d: group for d, (_, group) in exact_groups(found).items()}
+    assert {d: r["component_id"] for d, r in got.items()} == want
+    apart = len({r["component_id"] for r in got.values()})
+    assert apart > 20 and sum(asked) < 60 * 59 / 8
+
+
+def test_sketches_never_part_linked_texts():
+    draw = np.random.default_rng(3)
+    for n in (1, 7, 150, 4000):
+        for share in (0.0, 0.1, 0.25):
+            both = draw.integers(0, 2**64, n, np.uint64)
+            own = int(n * share / 2)
+            a, b = both[: n - own], both[own:]
+            bits = [np.unpackbits(minhash.odd_sketch(s).view(np.uint8)) for s in (a, b)]
+            assert (bits[0] != bits[1]).sum() <= 2 * own
+
+
 def distance(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
