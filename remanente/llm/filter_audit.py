@@ -3,7 +3,8 @@
 The files of a table are read as available-now micro-batches, each file once. A worker turns each
 text into a mask of the conditions A to D that it fails (bits 1, 2, 4, 8) and a 128-bit digest.
 State is kept for each digest: the least doc_id so far and the documents that have it, by part and
-labels. A document with a larger id than the least counts with E (bit 16), one with the least
+labels. Digests are dealt by their hash to BUCKETS groups, whose state is one value each, as a group
+costs the stream far more than a text. A document with a larger id than the least counts with E (bit 16), one with the least
 without. When a smaller id arrives, the documents counted without E are taken back (negative counts)
 and counted with E. Each micro-batch's counts by part, mask and labels are summed and written under
 its number, so that a batch that runs again replaces its own; their sum over all batches is the
@@ -12,7 +13,7 @@ state of the table, and is at most 128 rows for each part. The 120 orders are re
 Copies of one text in a reader's batch are combined before the shuffle: only those with the least id
 of their part and labels travel with it, the others as a count, so a text that a third of all
 documents share comes to its state in few rows. Labels are joined by doc_id in each micro-batch, so
-batches should be large (``files`` a batch).
+batches should be large (``files`` a batch); a batch also writes the state of all buckets that it meets.
 
 Null text counts as empty, as do all empty texts, which are equal. Null source is the part "". A
 null doc_id is neither smaller nor larger than others: such a document never fails E and makes none
@@ -55,6 +56,8 @@ _WITHIN = bytes(range(0x80, 0xC0))  # bytes that go on with a code point
 
 #: Files of one micro-batch.
 FILES = 64
+#: Groups that digests are dealt to; 30 GB of texts put some thousand digests in each.
+BUCKETS = 1 << 13
 
 
 def failures(text: bytes) -> int:
@@ -106,10 +109,10 @@ MARK = "|"
 
 
 def combined(marks: DataFrame) -> DataFrame:
-    """digest and ``row``: rows of one text, part and labels in a batch as one.
+    """bucket and ``row``: rows of one text, part and labels in a batch as one.
 
-    A row is packed into one text (least id, rows with it, rows in all, mask, good, toxic, part), as
-    the stateful step pays for every column of every group.
+    A row is packed into one text (digest, least id, rows with it, rows in all, mask, good, toxic,
+    part), as the stateful step pays for every column of every group.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -123,16 +126,16 @@ def combined(marks: DataFrame) -> DataFrame:
                     own[:2] = [doc, 0]
                 own[1] += doc == own[0]
                 own[2] += 1
-            digests = [key[0] for key in found]
+            buckets = [int.from_bytes(key[0][:4], "big") % BUCKETS for key in found]
             packed = [
-                MARK.join(map(str, ("" if doc is None else doc, n_least, n, *key[1:-1])))
+                MARK.join(map(str, (key[0].hex(), "" if doc is None else doc, n_least, n, *key[1:-1])))
                 for key, (doc, n_least, n) in found.items()
             ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array(packed, pa.string())], names=["digest", "row"]
+                [pa.array(buckets, pa.int32()), pa.array(packed, pa.string())], names=["bucket", "row"]
             )
 
-    return marks.mapInArrow(run, "digest binary, row string")
+    return marks.mapInArrow(run, "bucket int, row string")
 
 
 Count = tuple[str, int, int]
@@ -171,31 +174,35 @@ def changes(
 
 
 def updated(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Changes of the part counters for one text, whose state is updated."""
-    least, held, mask = None, {}, 0
-    if state.exists:
-        least, *shown = json.loads(state.get[0])
-        held = {(p, g, t): n for p, g, t, n in shown}
-    rows: list[tuple] = []
+    """Changes of the part counters for the texts of one bucket, whose state is updated."""
+    known: dict[str, list] = json.loads(state.get[0]) if state.exists else {}
+    rows: dict[str, list[tuple]] = {}
+    masks: dict[str, int] = {}
     for frame in frames:
         for packed in frame["row"].tolist():
-            doc, n_least, n, mask, good, toxic, part = packed.split(MARK, 6)
-            rows.append((part, int(good), int(toxic), int(doc) if doc else None, int(n_least), int(n)))
-    least, held, found = changes(least, held, rows)
-    if least is not None:
-        state.update((json.dumps([least, *[[*k, n] for k, n in held.items()]]),))
+            digest, doc, n_least, n, mask, good, toxic, part = packed.split(MARK, 7)
+            masks[digest] = int(mask)
+            row = (part, int(good), int(toxic), int(doc) if doc else None, int(n_least), int(n))
+            rows.setdefault(digest, []).append(row)
+    total: dict[tuple, int] = {}
+    for digest, own in rows.items():
+        least, *shown = known.get(digest, [None])
+        least, held, found = changes(least, {(p, g, t): n for p, g, t, n in shown}, own)
+        if least is not None:
+            known[digest] = [least, *[[*k, n] for k, n in held.items()]]
+        for (p, g, t, e), n in found.items():
+            place = (masks[digest] + BIT["E"] * e, g, t, p)
+            total[place] = total.get(place, 0) + n
+    if known:
+        state.update((json.dumps(known),))
+    found = [(m, g, t, n, p) for (m, g, t, p), n in sorted(total.items()) if n]
     if found:
-        yield changed(
-            tuple(
-                MARK.join((str(int(mask) + BIT["E"] * e), str(g), str(t), str(n), p))
-                for (p, g, t, e), n in found.items()
-            )
-        )
+        yield changed(tuple(MARK.join(map(str, row)) for row in found))
 
 
 @lru_cache(1 << 14)
 def changed(rows: tuple[str, ...]) -> pd.DataFrame:
-    """A frame of packed changes. Most texts make one of few, and frames cost more than the rest."""
+    """A frame of packed changes. Small buckets often make the same ones, and frames are dear."""
     return pd.DataFrame({"change": rows})
 
 
@@ -210,7 +217,7 @@ def counted(docs: DataFrame, labels: DataFrame, checkpoint: str, sink: str) -> N
     """Runs the stream ``docs`` to its end; each micro-batch's counts are written below ``sink``."""
     findable(docs.sparkSession)
     texts = combined(labelled(masked(docs), labels))
-    deltas = texts.groupBy("digest").applyInPandasWithState(
+    deltas = texts.groupBy("bucket").applyInPandasWithState(
         updated, "change string", "held string", "append", GroupStateTimeout.NoTimeout
     )
 

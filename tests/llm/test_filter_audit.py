@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import cases
+import pandas as pd
 import pytest
 
 from remanente.llm import filter_audit
@@ -116,6 +117,32 @@ def test_smaller_id_takes_the_earlier_count_back():
     assert found == {("a", 0, 0, False): -1, ("a", 0, 0, True): 1, ("b", 1, 0, False): 2}
 
 
+class Held:
+    exists, value = False, None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.exists, self.value = True, value
+
+
+def test_texts_of_one_bucket_share_a_call_and_keep_their_own_ids():
+    state = Held()
+
+    def call(*rows):
+        frames = filter_audit.updated((0,), iter([pd.DataFrame({"row": rows})]), state)
+        return [frame["change"].tolist() for frame in frames]
+
+    first = call("aa|7|1|3|2|0|0|p|q", "bb|9|1|1|0|1|0|p|q", "aa||0|2|2|0|0|p|q")
+    assert first == [["0|1|0|1|p|q", "2|0|0|3|p|q", "18|0|0|2|p|q"]]
+    assert call("aa|5|1|1|2|0|1|r", "bb|9|1|1|0|1|0|p|q") == [
+        ["0|1|0|1|p|q", "2|0|0|-1|p|q", "2|0|1|1|r", "18|0|0|1|p|q"]
+    ]
+    assert call("aa|8|1|1|2|0|0|r") == [["18|0|0|1|r"]]
+
+
 def test_failures():
     for text in ["", "a", "word " * 50, "A" * 6 + "b" * 94, "A" * 5 + "b" * 95, "#", "ÄÄÄÄÄ", " x\x0b y"]:
         assert filter_audit.failures(text.encode()) == mask(text), text
