@@ -10,9 +10,10 @@ key and text columns are used, so other columns cannot clash. An empty table giv
 from __future__ import annotations
 
 import heapq
+import json
+import re
 import sys
 from array import array
-import json
 from collections.abc import Iterator
 from functools import cache
 
@@ -28,6 +29,10 @@ MEMORY = 400_000
 #: Bits of a symbol in a packed number; a place in a word has twice as many.
 BITS = 20
 LOW, PLACES = (1 << BITS) - 1, (1 << 2 * BITS) - 1
+#: Letters of Latin-1, and marks after them.
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", "!-&(-/:;=-@[-`{-~"
+PLAIN = re.compile(f"([{_LETTERS}]+)([{_MARKS}]*)").fullmatch
+SOME_PLAIN = re.compile(f"[{_LETTERS}]*[{_MARKS}]*").fullmatch
 
 
 def byte_letters() -> list[str]:
@@ -62,11 +67,13 @@ class WordBpe:
         self.strings = {i: s for s, i in self.vocab.items()}
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.merges = {
-            self.vocab[a] << BITS | self.vocab[b]: rank << BITS | self.vocab[a + b]
+            self.vocab[a] << BITS | self.vocab[b]: rank << 3 * BITS | self.vocab[a + b]
             for rank, (a, b) in enumerate(merges)
         }
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings |= {i: s for s, i in self.special.items()}
+        # A special string that PLAIN could take as letters and marks rules the short way out.
+        self.plain = re.compile("(?!)").fullmatch if any(SOME_PLAIN(c) for c in self.special) else PLAIN
         self.special_at = regex.compile("|".join(map(regex.escape, self.special)) or "(?!)")
         self.normalizer = Tokenizer.from_file(path).normalizer
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -76,6 +83,7 @@ class WordBpe:
         self.words_at = regex.compile(pattern)
         self.letters = byte_letters()
         self.words: dict[str, list[int]] = {}
+        self.shown: dict[str, tuple[bytes, str]] = {}
 
     def split(self, text: str) -> list[str]:
         """Normalised words of text without special strings."""
@@ -108,7 +116,7 @@ class WordBpe:
         offered = [-1] * n  # the entry last queued for the pair that starts here
         for i in range(n - 1):
             if (found := merge_of(ids[i] << BITS | ids[i + 1])) is not None:
-                offered[i] = entry = (found >> BITS) << 3 * BITS | i << BITS | found & LOW
+                offered[i] = entry = found | i << BITS
                 queue.append(entry)
         if not queue:
             return ids
@@ -126,7 +134,7 @@ class WordBpe:
                 before[right] = left
                 found = merge_of(new << BITS | ids[right])
                 if found is not None:
-                    offered[left] = entry = (found >> BITS) << 3 * BITS | left << BITS | found & LOW
+                    offered[left] = entry = found | left << BITS
                     push(queue, entry)
                 else:
                     offered[left] = -1
@@ -134,7 +142,7 @@ class WordBpe:
             if left >= 0:
                 found = merge_of(ids[left] << BITS | new)
                 if found is not None:
-                    offered[left] = entry = (found >> BITS) << 3 * BITS | left << BITS | found & LOW
+                    offered[left] = entry = found | left << BITS
                     push(queue, entry)
                 else:
                     offered[left] = -1
@@ -148,6 +156,32 @@ class WordBpe:
             found = self.words[word] = self.merged(self.symbols(word))
         return found
 
+    def shown_word(self, word: str) -> tuple[bytes, str]:
+        """Ids of a normalised word as bytes, and their decoded text."""
+        found = self.shown.get(word)
+        if found is None:
+            if len(self.shown) > MEMORY:
+                self.shown.clear()
+            ids = self.merged(self.symbols(word))
+            found = self.shown[word] = (array("I", ids).tobytes(), self.decode(ids))
+        return found
+
+    def shown_chunk(self, chunk: str) -> tuple[bytes, str]:
+        """Ids of a chunk as bytes, and their decoded text.
+
+        Letters that normalising only lowers, and a run of marks after them, are words of their own.
+        Any other chunk is split.
+        """
+        if m := self.plain(chunk):
+            word, marks = m.groups()
+            ids, back = self.shown_word(word.lower())
+            if marks:
+                more, after = self.shown_word(marks)
+                return ids + more, f"{back} {after}"
+            return ids, back
+        own = self.encode_chunk(chunk)
+        return array("I", own).tobytes(), self.decode(own)
+
     def encode_chunk(self, chunk: str) -> list[int]:
         out: list[int] = []
         for part in self.parts(chunk):
@@ -195,8 +229,7 @@ def encoded(texts_: list[str], path: str) -> Iterator[tuple[bytes, str]]:
         except KeyError:
             for chunk in found:
                 if chunk not in known:
-                    own = bpe.encode_chunk(chunk)
-                    known[chunk] = (array("I", own).tobytes(), bpe.decode(own))
+                    known[chunk] = bpe.shown_chunk(chunk)
             pairs = [known[c] for c in found]
         ids, back = zip(*pairs, strict=True)
         yield b"".join(ids), " ".join([s for s in back if s])

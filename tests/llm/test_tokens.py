@@ -148,3 +148,18 @@ def test_shards_take_null_and_repeated_ids(spark):
     got = wavelet.read_documents(wavelet.write_shards(docs, BYTE)).orderBy("start").collect()
     assert [r.doc_id for r in got] == [None, 2, 2, 2]
     assert [r.start for r in got][0] == 0 and sorted(r.n_tokens for r in got) == [1, 2, 2, 2]
+
+
+def test_plain_chunks_are_encoded_without_splitting(monkeypatch):
+    plain = ["Orsh", "étÄR.", "nd$$$", "ÿß[]{}", "a!?", "THE", "x" * 70 + ";"]
+    other = ["it's", "a.b", "x1", "a<|endoftext|>", "<|endoftext|>a", "e\u0301t.", "İo", "ªb", ".", "a'"]
+    own, library = bpe.WordBpe(WORD), Tokenizer.from_file(WORD)
+    for chunk in plain + other:
+        ids = library.encode(chunk, add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False)
+        assert own.shown_chunk(chunk) == (np.array(ids, "<u4").tobytes(), back), chunk
+    asked = []
+    monkeypatch.setattr(own, "encode_chunk", lambda chunk: asked.append(chunk) or [])
+    for chunk in plain + other:
+        own.shown_chunk(chunk)
+    assert asked == other
