@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -189,12 +190,13 @@ class ChunkEncoder:
     A single blank between two letters that are not white space always starts a new word of a
     byte-level tokenizer, so texts are cut before such blanks. A chunk that is a blank, plain letters
     and at most one mark holds one word, which goes straight to the library's model; any other chunk
-    takes the library's whole way.
+    takes the library's whole way. Two such words with a line end between them are two words, and a line
+    end, which is a token of its own before a letter.
     """
 
-    beside = re.compile(r"\s | \s")
+    blanks = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace() and c != " "]
     cut = re.compile(r"(?<=\S) (?=\S)")
-    plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+    plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)(?:\n([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?))?")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -205,32 +207,39 @@ class ChunkEncoder:
         self.letters = {c: "".join([letters[b] for b in c.encode()]) for c in map(chr, range(256))}
         self.blank = self.letters[" "]
         self.marks = {m: self.whole([m])[0] for m in ",.;:!?"} | {"": b""}
+        self.line_end = self.whole(["\n"])[0]
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
-        odd = self.beside.search(text) or text[:1] == " " or text[-1:] == " "
+        odd = text[:1] == " " or text[-1:] == " " or "  " in text
+        odd = odd or any([b in text and (f" {b}" in text or f"{b} " in text) for b in self.blanks])
         return self.cut.split(text) if odd else text.split(" ")
 
     def whole(self, asked: list[str]) -> list[bytes]:
         made = self.library.encode_batch_fast(asked, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in made]
 
-    def word(self, letters: str) -> bytes:
-        """Ids of a blank and a word of plain letters."""
-        found = self.words.get(letters)
+    def word(self, letters: str, before: str) -> bytes:
+        """Ids of a word of plain letters, with ``before`` (a blank's letter or nothing) at its start."""
+        key = before + letters
+        found = self.words.get(key)
         if found is None:
             shown = letters if letters.isascii() else "".join(map(self.letters.get, letters))
-            made = self.library.model.tokenize(self.blank + shown)
-            found = self.words[letters] = array("I", [t.id for t in made]).tobytes()
+            made = self.library.model.tokenize(before + shown)
+            found = self.words[key] = array("I", [t.id for t in made]).tobytes()
         return found
 
     def learn(self, later: set[str], first: set[str]) -> None:
         other = []
         for chunk in later:
             if m := self.plain.fullmatch(chunk):
-                self.later[chunk] = self.word(m[1]) + self.marks[m[2]]
+                letters, mark, below, last = m.groups()
+                ids = self.word(letters, self.blank) + self.marks[mark]
+                if below:
+                    ids += self.line_end + self.word(below, "") + self.marks[last]
+                self.later[chunk] = ids
             else:
                 other.append(chunk)
         self.later.update(zip(other, self.whole([" " + c for c in other]), strict=True))

@@ -163,3 +163,16 @@ def test_plain_chunks_are_encoded_without_splitting(monkeypatch):
     for chunk in plain + other:
         own.shown_chunk(chunk)
     assert asked == other
+
+
+def test_words_around_a_line_end_need_no_whole_way(monkeypatch):
+    own, library = wavelet.ChunkEncoder(BYTE), Tokenizer.from_file(BYTE)
+    short = "Orsh étÄr.\nNd, the\nthe a!\nB? st"
+    texts = [short, "a\n\nb c", "a \nb", "a\n b", "a\u3000 b c", " a", "a ", "a  b", "x.\n1 y1\nz", "a.,\nb q\nr's", ""]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in own.encode(texts)] == want
+    asked = []
+    monkeypatch.setattr(own, "whole", lambda found: asked.extend(found) or [b""] * len(found))
+    own.first, own.later = {"Orsh": b""}, {}
+    own.encode([short])
+    assert asked == []
