@@ -308,3 +308,31 @@ def test_lines_with_replaced_words(spark):
     want = {k: int(union.find(k) != k) for k in range(len(known))}
     assert {k: r["n_similar"] for k, r in got.items()} == want
     assert sum(want.values()) > 40
+
+
+def test_linked_lines_share_one_of_few_keys(spark):
+    draw, found = random.Random(21), []
+    for k in range(60):
+        words = ["".join(draw.choices("abcdeé", k=draw.randrange(1, 9))) for _ in range(5 + 2 * k)]
+        line = " ".join(words)
+        letters = list(line)
+        for _ in range(0 if len(line) < 16 else 1 if len(line) < 34 else 2):
+            at = draw.randrange(len(letters))
+            letters[at] = draw.choice(["", " ", "z", letters[at] + " ", letters[at] + "z"])
+        other = list(words)
+        for at in draw.sample(range(len(words)), 0 if len(words) < 8 else max(1, len(words) // 12)):
+            other[at] = draw.choice([f"{other[at]} more", "otherword"])
+        found += [(k, 0, line), (k, 1, "".join(letters)), (k, 2, " ".join(other))]
+    known = spark.createDataFrame(found, "k int, kind int, line string")
+    every = known.select("line").distinct()
+    probed = line_dedup.probed_lines(every, line_dedup.LETTER_EDITS)
+    keys: dict[bytes, set] = {}
+    for row in probed.collect():
+        keys.setdefault(bytes(row.node), set()).add(row.key)
+    named = known.select("k", "kind", line_dedup.node_of(F.col("line")).alias("node")).collect()
+    own = {(r.k, r.kind): keys.get(bytes(r.node), set()) for r in named}
+    for k, kind, line in found:
+        if linked(found[3 * k][2], line) and len(line) >= 16:
+            assert own[k, 0] & own[k, kind], (found[3 * k][2], line)
+        n = len(line.split(" "))
+        assert n < 20 or len(own[k, kind]) <= 0.75 * n
