@@ -17,8 +17,9 @@ import struct
 import sys
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from remanente.llm.bpe import MEMORY, byte_letters
-from remanente.llm.common import over_texts, texts, written
+from remanente.llm.common import findable, texts, written
 
 MAGIC = b"WVM1"
 BLOCK = 512
@@ -140,10 +141,9 @@ def block_ranks(plane: np.ndarray) -> np.ndarray:
     """Ones before each block of a plane, and one entry beyond the last."""
     size = BLOCK // 8
     padded = np.zeros(-(-len(plane) // size) * size, np.uint8)
-    padded[: len(plane)] = _ONES[plane]
-    return np.concatenate([[0], padded.reshape(-1, size).sum(1, dtype=np.uint32).cumsum()]).astype(
-        np.uint32
-    )
+    padded[: len(plane)] = plane
+    ones = np.bitwise_count(padded.view(np.uint64)).reshape(-1, size // 8)
+    return np.concatenate([[0], ones.sum(1, dtype=np.uint32).cumsum()]).astype(np.uint32)
 
 
 def to_file(doc_ids: list[int | None], counts: list[int], tokens: np.ndarray) -> bytes:
@@ -184,6 +184,26 @@ def from_file(data: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]
     return docs, np.frombuffer(parts[2], "<u8"), WaveletMatrix(n, planes, zeros, ranks)
 
 
+class Known(dict):
+    """Ids of chunks, made when they are first asked for; in use are the latest ones.
+
+    A full memory becomes the former one, from which chunks that come again are taken over.
+    """
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.former = make, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.former.get(chunk)
+        ids = self[chunk] = self.make(chunk) if ids is None else ids
+        return ids
+
+    def turn(self) -> None:
+        self.former = dict(self)
+        self.clear()
+
+
 class ChunkEncoder:
     """The library's ids of whole texts, joined from chunks that a worker remembers.
 
@@ -209,8 +229,18 @@ class ChunkEncoder:
         self.marks = {m: self.whole([m])[0] for m in ",.;:!?"} | {"": b""}
         self.line_end = self.whole(["\n"])[0]
         self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.later = {}
+        self.below = Known(lambda letters: self.word(letters, ""))
+
+    @property
+    def later(self) -> Known:
+        return self._later
+
+    @later.setter
+    def later(self, known: dict[str, bytes]) -> None:
+        """Takes what is known at first; chunks that are not get their ids when asked for."""
+        self._later = Known(self.after_blank)
+        self._later.update(known)
 
     def pieces(self, text: str) -> list[str]:
         odd = text[:1] == " " or text[-1:] == " " or "  " in text
@@ -223,41 +253,34 @@ class ChunkEncoder:
 
     def word(self, letters: str, before: str) -> bytes:
         """Ids of a word of plain letters, with ``before`` (a blank's letter or nothing) at its start."""
-        key = before + letters
-        found = self.words.get(key)
-        if found is None:
-            shown = letters if letters.isascii() else "".join(map(self.letters.get, letters))
-            made = self.library.model.tokenize(before + shown)
-            found = self.words[key] = array("I", [t.id for t in made]).tobytes()
-        return found
-
-    def learn(self, later: set[str], first: set[str]) -> None:
-        other = []
-        for chunk in later:
-            if m := self.plain.fullmatch(chunk):
-                letters, mark, below, last = m.groups()
-                ids = self.word(letters, self.blank) + self.marks[mark]
-                if below:
-                    ids += self.line_end + self.word(below, "") + self.marks[last]
-                self.later[chunk] = ids
-            else:
-                other.append(chunk)
-        self.later.update(zip(other, self.whole([" " + c for c in other]), strict=True))
-        asked = list(first)
-        self.first.update(zip(asked, self.whole(asked), strict=True))
+        shown = letters if letters.isascii() else "".join(map(self.letters.get, letters))
+        return array("I", [t.id for t in self.library.model.tokenize(before + shown)]).tobytes()
+
+    def after_blank(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            return self.word(chunk, self.blank)
+        if not (m := self.plain.fullmatch(chunk)):
+            return self.whole([" " + chunk])[0]
+        letters, mark, below, last = m.groups()
+        if letters == chunk:
+            return self.word(letters, self.blank)
+        ids = self.later[letters] + self.marks[mark]
+        return ids + self.line_end + self.below[below] + self.marks[last] if below else ids
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
-        for known in (self.first, self.later, self.words):
+        if len(self.first) > MEMORY:
+            self.first.clear()
+        for known in (self.later, self.below):
             if len(known) > MEMORY:
-                known.clear()
-        found, first, later = [self.pieces(t) for t in batch], self.first, self.later
-        self.learn(
-            {c for p in found for c in p[1:] if c not in later},
-            {p[0] for p in found if p[0] not in first},
-        )
-        return [
-            np.frombuffer(first[p[0]] + b"".join([later[c] for c in p[1:]]), "<u4") for p in found
-        ]
+                known.turn()
+        found, first, later = [self.pieces(t) for t in batch], self.first, self.later.__getitem__
+        asked = list({p[0] for p in found if p[0] not in first})
+        first.update(zip(asked, self.whole(asked), strict=True))
+        made = []
+        for p in found:
+            rest = map(later, islice(p, 1, None))
+            made.append(np.frombuffer(first[p[0]] + b"".join(rest), "<u4"))
+        return made
 
 
 @cache
@@ -266,19 +289,10 @@ def encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
-def token_ids(df: DataFrame, path: str, end_id: int = 0) -> DataFrame:
-    """Other columns than text, and ``ids``: the text's ids and the end id, as 32-bit bytes."""
-    end = np.array([end_id], "<u4")
-
-    def rows(batch: list[str]) -> dict[str, list]:
-        made = encoder(path).encode(batch)
-        return {"ids": [np.concatenate([ids, end]).tobytes() for ids in made]}
-
-    return over_texts(df, rows, "ids binary", slice_rows=256)
-
-
-def write_shards(df: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """Written shards, read back: part, shard, n_tokens, file.
+def write_shards(
+    df: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, end_id: int = 0
+) -> DataFrame:
+    """Written shards of the texts' ids, each with the end id, read back: part, shard, n_tokens, file.
 
     Texts are dealt to tasks by ranges of doc_id, so that ``part`` and then ``shard`` follow
     ascending doc_id; a task holds the ids of one shard at a time.
@@ -294,23 +308,26 @@ def write_shards(df: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS) ->
             row["file"] = to_file(docs, counts, tokens)
             return pa.RecordBatch.from_pylist([row], schema=SHARD_SCHEMA)
 
-        for batch in batches:
-            found = zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True)
-            for doc, own in found:
-                tokens = np.frombuffer(own.as_py(), "<u4")
-                docs.append(doc)
-                counts.append(len(tokens))
-                ids.append(tokens)
-                n += len(tokens)
-                if n >= shard_tokens:
-                    yield done()
-                    docs, counts, ids, n, shard = [], [], [], 0, shard + 1
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                made = encoder(path).encode([x or "" for x in batch.column("text").to_pylist()])
+                for doc, tokens in zip(batch.column("doc_id").to_pylist(), made, strict=True):
+                    docs.append(doc)
+                    counts.append(len(tokens) + 1)
+                    ids += [tokens, end]
+                    n += len(tokens) + 1
+                    if n >= shard_tokens:
+                        yield done()
+                        docs, counts, ids, n, shard = [], [], [], 0, shard + 1
         if docs:
             yield done()
 
+    findable(df.sparkSession)
+    end = np.array([end_id], "<u4")
     order = [F.col("doc_id"), F.xxhash64("text")]
     dealt = texts(df).repartitionByRange(*order).sortWithinPartitions(*order)
-    made = token_ids(dealt, path).mapInArrow(
+    made = dealt.mapInArrow(
         shards, "part long, shard long, n_tokens long, file binary"
     )
     return written(made, "wavelet")

@@ -176,3 +176,15 @@ def test_words_around_a_line_end_need_no_whole_way(monkeypatch):
     own.first, own.later = {"Orsh": b""}, {}
     own.encode([short])
     assert asked == []
+
+
+def test_chunks_seen_lately_are_not_encoded_again(monkeypatch):
+    monkeypatch.setattr(wavelet, "MEMORY", 40)
+    own, asked = wavelet.ChunkEncoder(BYTE), []
+    real = own.word
+    monkeypatch.setattr(own, "word", lambda letters, before: asked.append(letters) or real(letters, before))
+    texts = [f"a common phrase and {random_texts(1)[0]} x{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(90)]
+    library = Tokenizer.from_file(BYTE)
+    for text in texts:
+        assert own.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(own.later) <= 200 and asked.count("common") == 1
