@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-from remanente.llm.common import over_texts, texts
+from remanente.llm.common import over_texts, remembered, texts
 
 #: Entries a worker keeps before it starts its memory of words again.
 MEMORY = 400_000
+#: Code points that are asked for at once.
+BLOCK = 0x1000
 #: Bits of a symbol in a packed number; a place in a word has twice as many.
 BITS = 20
 LOW, PLACES = (1 << BITS) - 1, (1 << 2 * BITS) - 1
@@ -45,13 +47,19 @@ def byte_letters() -> list[str]:
 @cache
 def letter_classes() -> dict[str, str]:
     """Ranges of white space, letters and digits in the Unicode version of the tokenizer library."""
-    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
-    every = "".join(map(chr, points))
     out = {}
     for name in (r"\s", r"\p{L}", r"\p{N}"):
         split = pre_tokenizers.Split(Regex(name + "+"), "removed", invert=True)
-        spans = [(found[0], found[-1]) for found, _ in split.pre_tokenize_str(every)]
-        out[name] = "".join(f"\\U{ord(a):08x}-\\U{ord(b):08x}" for a, b in spans)
+        spans: list[tuple[int, int]] = []
+        # Block by block: at once, the library's answer would be the most that a worker ever holds.
+        for low in range(0, 0x110000, BLOCK):
+            every = "".join(chr(p) for p in range(low, low + BLOCK) if not 0xD800 <= p < 0xE000)
+            for found, _ in split.pre_tokenize_str(every):
+                a, b = ord(found[0]), ord(found[-1])
+                if spans and spans[-1][1] + 1 == a:
+                    a = spans.pop()[0]
+                spans.append((a, b))
+        out[name] = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans)
     return out
 
 
@@ -204,13 +212,13 @@ def chunks(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
-@cache
+@remembered
 def tokenizer(path: str) -> WordBpe:
-    """One for each worker process."""
+    """One for each worker process at work here."""
     return WordBpe(path)
 
 
-@cache
+@remembered
 def memory(path: str) -> dict[str, tuple[bytes, str]]:
     """Chunks that this worker has met, with their ids and decoded text."""
     return {}

@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from remanente.llm import bpe, prefix_counts, wavelet
+from remanente.llm import bpe, common, prefix_counts, wavelet
 
 WORD, BYTE = (public_tokenizers.path(f"{n}.json") for n in ("word_bpe_49k", "byte_bpe_50k"))
 ODD = [
@@ -188,3 +188,38 @@ def test_chunks_seen_lately_are_not_encoded_again(monkeypatch):
     for text in texts:
         assert own.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
     assert len(own.later) <= 200 and asked.count("common") == 1
+
+
+def test_letter_classes_ask_for_few_letters_at_once(monkeypatch):
+    asked, real = [], bpe.pre_tokenizers.Split
+
+    class Asked:
+        def __init__(self, *given, **named):
+            self.split = real(*given, **named)
+
+        def pre_tokenize_str(self, text):
+            asked.append(text)
+            return self.split.pre_tokenize_str(text)
+
+    monkeypatch.setattr(bpe.pre_tokenizers, "Split", Asked)
+    classes = bpe.letter_classes.__wrapped__()
+    every = "".join(chr(p) for p in range(0x110000) if not 0xD800 <= p < 0xE000)
+    assert "".join(asked) == 3 * every
+    assert max(map(len, asked)) <= 1 << 14
+    for name, ranges in classes.items():
+        split = real(bpe.Regex(name + "+"), "removed", invert=True)
+        spans = [(found[0], found[-1]) for found, _ in split.pre_tokenize_str(every)]
+        assert ranges == "".join(f"\\U{ord(a):08x}-\\U{ord(b):08x}" for a, b in spans)
+
+
+def test_workers_forget_what_a_stage_before_kept(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('word', id) AS text").repartition(8)
+
+    def kept(texts):
+        return {"kept": [bpe.memory.cache_info().currsize + bpe.tokenizer.cache_info().currsize] * len(texts)}
+
+    for _ in range(2):
+        encoded = bpe.encode_decode(docs, WORD).collect()
+        assert {r.decoded for r in encoded if r.doc_id == 7} == {bpe.WordBpe(WORD).decode(bpe.WordBpe(WORD).encode("word7"))}
+        found = common.over_texts(docs, kept, "kept int").collect()
+        assert len(found) == 4000 and {r.kept for r in found} == {0}
