@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 
 import cases
 import numpy as np
@@ -13,6 +16,8 @@ from pyspark.sql import functions as F
 
 from remanente.llm import components, line_dedup, minhash
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 class Union:
     def __init__(self):
@@ -336,3 +341,25 @@ def test_linked_lines_share_one_of_few_keys(spark):
             assert own[k, 0] & own[k, kind], (found[3 * k][2], line)
         n = len(line.split(" "))
         assert n < 20 or len(own[k, kind]) <= 0.75 * n
+
+
+def test_written_steps_leave_no_shuffle_files(tmp_path):
+    code = f"""
+import glob, sys, time
+from pyspark.sql import SparkSession
+from remanente.llm import common
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
+    "spark.checkpoint.dir", "{tmp_path}/shared").getOrCreate()
+before = spark.conf.get(common.CLEANUP)
+step = common.written(spark.range(1000).selectExpr("id % 9 AS k").groupBy("k").count())
+assert step.count() == 9 and spark.conf.get(common.CLEANUP) == before
+for _ in range(20):
+    # Of the count above, which is not a step, one exchange stays.
+    left = {{f.split("shuffle_")[1].split("_")[0] for f in glob.glob("{tmp_path}/local/**/shuffle_*", recursive=True)}}
+    if len(left) <= 1:
+        break
+    time.sleep(1)
+assert len(left) <= 1, left
+"""
+    env = {**os.environ, "SPARK_LOCAL_DIRS": f"{tmp_path}/local", "PYTHONPATH": ROOT}
+    subprocess.run([sys.executable, "-c", code], env=env, check=True, timeout=120)
