@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remanente.llm.common import maybe_in, over_texts, texts, written
-from remanente.llm.components import Part, bucket_groups, star_links
+from remanente.llm.components import Part, bucket_groups, first_keys, first_met, star_links
 
 SHINGLE = 5
 #: A pair at similarity 0.75 shares no band with a chance of (1 - 0.75**5) ** 48, or 2 in a million.
@@ -206,14 +206,14 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
         return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
     def sketches_fit(one: Part, other: Part) -> Column:
-        return sizes_fit(one, other) & odd_fit(one, other, percent)
+        return sizes_fit(one, other) & odd_fit(one, other, percent) & first_met(one, other)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         return similar(pairs, sets, percent)
 
     first = star_links(members, sizes_fit, confirmed)
-    sketches = classes.select("node", "odd")
-    return bucket_groups(members, first, sketches_fit, confirmed, known=sketches)
+    sketches = classes.select("node", "odd", first_keys(F.col("bands")).alias("firsts"))
+    return bucket_groups(members, first, sketches_fit, confirmed, step=32, known=sketches)
 
 
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -49,6 +49,66 @@ def test_components_match_union_find(spark):
     assert components.components(none).count() == 0
 
 
+def test_rounds_in_one_task_need_no_shuffle(spark, monkeypatch):
+    plans, write = [], components.written
+
+    def noted(df, kind="step"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, kind)
+
+    monkeypatch.setattr(components, "written", noted)
+    edges = [(k, k + 1) for k in range(9)] + [(20, 30), (20, 31)]
+    got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r.node: r.label for r in got} == dict.fromkeys(range(10), 0) | {20: 20, 30: 20, 31: 20}
+    assert len(plans) > 2
+    for plan in plans[1:]:  # the first one deals out the given edges
+        assert "Exchange" not in plan
+        assert plan.count("FileScan") == 1
+
+
+def test_groups_dealt_out_match_union_find(spark, monkeypatch):
+    monkeypatch.setattr(components, "ONE_TASK", 0)
+    test_components_match_union_find(spark)
+
+
+def test_pairs_are_met_in_one_bucket(spark):
+    keys = {1: [5, 7, 9, 11], 2: [3, 7, 9, 11, 13], 3: [13]}
+    rows = [(k, n, sorted(own)[:3]) for n, own in keys.items() for k in own]
+    members = spark.createDataFrame(rows, "key long, node long, firsts array<long>")
+    other = members.select("key", F.col("node").alias("node_b"), F.col("firsts").alias("firsts_b"))
+    met = members.join(other, "key").where("node < node_b")
+    once = met.where(components.first_met(F.col, lambda c: F.col(f"{c}_b")))
+    assert met.count() == 4
+    assert {tuple(r) for r in once.select("key", "node", "node_b").collect()} == {(7, 1, 2), (13, 2, 3)}
+
+
+def test_odd_sketches_of_lines_drop_no_link_and_most_others(spark):
+    draw, found = random.Random(4), []
+    for n in (9, 24, 60, 200, 600):
+        words, few = [f"w{draw.randrange(400)}" for _ in range(n)], max((n - 1) // 12, 1)
+        for edits, linked in ((few, True), (few + few // 2 + 3, False)):
+            for _ in range(20):
+                new, less = list(words), linked and draw.random() < 0.5
+                for at in draw.sample(range(n), min(edits - less, n)):
+                    new[at] = f"x{draw.randrange(10**6)}"
+                if less:
+                    new.pop(draw.randrange(n))
+                found.append((" ".join(words), " ".join(new), linked))
+    df = spark.createDataFrame(found, "a string, b string, linked boolean")
+    shown = {}
+    for c in "ab":
+        shown[f"n_{c}"], shown[f"n_words_{c}"] = F.length(c), line_dedup.n_words(F.col(c))
+        shown |= {f"by_words_{c}": F.lit(True), f"indexed_{c}": F.lit(True), f"counts_{c}": F.lit(0)}
+        for k in range(line_dedup.ODD_LONGS):
+            shown[f"odd{k}_{c}"] = F.get(line_dedup.odd_bits(F.col(c)), k)
+    one, other = (lambda x, c=c: F.col(f"{x}_{c}") for c in "ab")
+    fits = line_dedup.may_fit(((10**6, 1),))(one, other)
+    got = df.withColumns(shown).select("linked", "n_words_a", fits.alias("fits")).collect()
+    assert all(r.fits for r in got if r.linked)
+    # Lines of several hundred words fill a sketch, so only links are asked of those.
+    assert sum(r.fits for r in got if not r.linked and r.n_words_a <= 200) <= 8  # of 80
+
+
 def exact_set(text: str | None) -> set:
     lower = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
     words = re.findall(r"[^\x20\x09-\x0D]+", lower)
