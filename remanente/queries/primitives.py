@@ -451,11 +451,7 @@ SELECT rows_in_partition, COUNT(*) AS grupos FROM (
 GROUP BY 1 ORDER BY 1""",
 )
 def sort_output(t: Inputs) -> DataFrame:
-    sizes = (
-        lookups.expense_candidates(t["recibos"], t["gasto"])
-        .groupBy(*lookups.EXPENSE_RECEIPT_KEYS, "tipo_gasto")
-        .agg(n().alias("rows_in_partition"))
-    )
+    sizes = lookups.expense_matches(t["recibos"], t["gasto"])
     return sizes.groupBy("rows_in_partition").agg(n().alias("grupos")).orderBy("rows_in_partition")
 
 
