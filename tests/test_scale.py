@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from remanente.operators import lookups
+from remanente.operators import lookups, reconcile
 
 DAY = date(2024, 1, 1)
 RATE = (
@@ -100,3 +101,50 @@ def test_matching_rates_are_counted_without_making_them(spark):
         str(r) for r in want.withColumnRenamed("count", "rows_in_partition").collect()
     )
     assert _dealt_out(found)[0] == 1
+
+
+KEYED = "a string, b string, c double, d date, e int, v double"
+
+
+def _sides(spark, draw):
+    def row():
+        return (
+            draw.choice(["", "x", "1:x", None]), draw.choice(["", "x", "-", None]),
+            draw.choice([0.0, -0.0, float("nan"), None]), draw.choice([DAY, None]),
+            draw.choice([1, 11, None]), draw.choice([1.0, 2.0]),
+        )
+
+    return [spark.createDataFrame([row() for _ in range(150)], KEYED) for _ in range(2)]
+
+
+def test_sides_meet_by_what_each_key_holds(spark):
+    ours, theirs = _sides(spark, random.Random(9))
+    columns = ["a", "b", "c", "d", "e", "v"]
+    for how in ("left", "full"):
+        got = reconcile.null_safe_join(ours, theirs, columns, columns, ["v"], {}, "_r", how)
+        plain = ours.alias("o").join(
+            theirs.alias("t"),
+            [F.col(f"o.{c}").eqNullSafe(F.col(f"t.{c}")) for c in columns[:-1]],
+            how,
+        )
+        keys = [F.coalesce(f"o.{c}", f"t.{c}").alias(c) for c in columns[:-1]]
+        want = plain.select(*keys, F.col("o.v").alias("v"), F.col("t.v").alias("v_r")).fillna(0)
+        assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_only_what_is_asked_for_is_shuffled_to_compare(spark):
+    ours, theirs = _sides(spark, random.Random(10))
+    columns = ["a", "b", "c", "d", "e", "v"]
+    joined = reconcile.null_safe_join(ours, theirs, columns, columns, ["v"], {}, "_r", "left")
+    plan = joined.select("v", "v_r")._jdf.queryExecution().optimizedPlan().toString()
+    shuffled = [line.split("xxhash64")[0] for line in plan.splitlines() if "xxhash64" in line]
+    assert len(shuffled) == 2
+    assert {name for line in shuffled for name in re.findall(r"(\w+)#", line)} <= {"v", "v_r"}
+
+
+def test_repeated_rows_are_told_from_rows_with_the_same_letters(spark):
+    ours, _ = _sides(spark, random.Random(11))
+    plain = ours.groupBy(*ours.columns).count().filter("count > 1").agg(F.sum("count")).first()[0]
+    counted = reconcile.count_duplicated(ours)
+    assert counted.first()["duplicados"] == plain
+    assert "Join" not in counted._jdf.queryExecution().optimizedPlan().toString()
