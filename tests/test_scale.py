@@ -9,6 +9,8 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 
 from remanente.operators import lookups, reconcile
+from remanente.queries import prepare
+from remanente.sources import tables
 
 DAY = date(2024, 1, 1)
 RATE = (
@@ -148,3 +150,13 @@ def test_repeated_rows_are_told_from_rows_with_the_same_letters(spark):
     counted = reconcile.count_duplicated(ours)
     assert counted.first()["duplicados"] == plain
     assert "Join" not in counted._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_table_written_as_text_is_small_and_read_back_whole(spark, tmp_path):
+    known = spark.range(20000).select(
+        F.lit("040").alias("ramo"), F.concat(F.lit("tipo "), F.col("id") % 3).alias("tipo_seguro_codigo")
+    )
+    prepare.write_text(known, str(tmp_path / "t"))
+    assert sum(f.stat().st_size for f in (tmp_path / "t").glob("part-*")) < 20000
+    read = tables.read_quarantined(spark, "tipo_seguro", str(tmp_path / "t"), "csv")
+    assert read.accepted.count() == 20000 and read.rejected.count() == 0
